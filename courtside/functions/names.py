@@ -23,8 +23,11 @@ WHITESPACE = (
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[str, str, str, list[tuple[str, str]]]:
-    """(single from, single to, class of expanding characters, per-position tables)."""
+def _tables() -> tuple[str, str, dict[int, tuple[str, list[str]]]]:
+    """(from, to) for one-to-one folds, and by length the characters that fold to several.
+
+    The latter map a length to its characters and, per position, what each of them has there.
+    """
     single_from, single_to, dropped, expanding = [], [], [], {}
     for code in range(0x80, 0x110000):
         if 0xD800 <= code <= 0xDFFF:
@@ -39,43 +42,31 @@ def _tables() -> tuple[str, str, str, list[tuple[str, str]]]:
             single_from.append(char)
             single_to.append(plain)
         else:
-            expanding[char] = plain
-    longest = max(map(len, expanding.values()))
-    positions = []
-    for at in range(longest):
-        # Characters listed past the end of the replacement string are deleted by translate.
-        reaching = [c for c, plain in expanding.items() if len(plain) > at]
-        ended = [c for c, plain in expanding.items() if len(plain) <= at]
-        positions.append(("".join(reaching + ended), "".join(expanding[c][at] for c in reaching)))
-    return (
-        "".join(single_from + dropped),
-        "".join(single_to),
-        _character_class(sorted(map(ord, expanding))),
-        positions,
-    )
-
-
-def _character_class(codes: list[int]) -> str:
-    spans: list[list[int]] = []
-    for code in codes:
-        if spans and code == spans[-1][1] + 1:
-            spans[-1][1] = code
-        else:
-            spans.append([code, code])
-    return "[" + "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in spans) + "]"
+            expanding.setdefault(len(plain), {})[char] = plain
+    by_length = {
+        n: ("".join(folds), ["".join(plain[at] for plain in folds.values()) for at in range(n)])
+        for n, folds in sorted(expanding.items())
+    }
+    # Characters listed past the end of the replacement string are deleted by translate.
+    return "".join(single_from + dropped), "".join(single_to), by_length
 
 
 def normalize_name(text: ColumnLike) -> Column:
     """Fold a name to plain lower case without accents; a missing name stays missing."""
     text = as_column(text)
-    single_from, single_to, expanding, positions = _tables()
+    single_from, single_to, by_length = _tables()
+    expanding = "".join(chars for chars, _ in by_length.values())
 
     def expand(char: Column) -> Column:
-        parts = [F.translate(char, source, target) for source, target in positions]
-        return F.when(char.rlike(expanding), F.concat(*parts)).otherwise(char)
+        widened = F.when(F.lit(False), char)
+        for chars, positions in by_length.values():
+            parts = [F.translate(char, chars, there) for there in positions]
+            widened = widened.when(F.translate(char, chars, "") == "", F.concat(*parts))
+        return widened.otherwise(char)
 
     widened = F.when(
-        text.rlike(expanding),
+        F.length(F.translate(text, expanding, "")) < F.length(text),
         F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), expand), ""),
     ).otherwise(text)
-    return F.btrim(F.lower(F.translate(widened, single_from, single_to)), F.lit(WHITESPACE))
+    folded = F.when(text.rlike("[^\\x00-\\x7f]"), F.translate(widened, single_from, single_to)).otherwise(text)
+    return F.btrim(F.lower(folded), F.lit(WHITESPACE))
