@@ -9,6 +9,9 @@ what crosses a part border is carried over exactly:
 * a bounded frame gets copies of the few rows before (after) the part, dropped afterwards;
 * a running total or fill gets one summary row per part, combined over the parts of a group.
 
+Both read the table twice, so in this mode it is checkpointed on entry and between chained steps:
+each step then costs two reads, however long the chain and whatever made the table.
+
 Parts are cut at rows picked by a hash of the order columns, so the cuts are the same however
 often the input is recomputed, and ties in the first order column do not matter as long as the
 order columns together are unique within a group. The picking only balances the parts: every row
@@ -22,6 +25,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from courtside.session import ensure_checkpoint_dir
+
 #: Largest group a single window task is given.
 MAX_GROUP_ROWS = 4_000_000
 #: Rows picked per cut, unless frames reach further: a part must hold the longest frame.
@@ -86,6 +91,11 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -
     return left.join(right, same, "left").drop(*[f"_r_{k}" for k in keys])
 
 
+def _store(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def _count_cuts_upto(cuts: Column, row: Column) -> Column:
     """Number of sorted ``cuts`` not after ``row``, by halving steps."""
     steps = F.array(*[F.lit(1 << k) for k in range(21, -1, -1)])
@@ -102,6 +112,7 @@ class Ordered:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cuts: Cuts
+    stored: bool = True
 
     @property
     def split(self) -> bool:
@@ -118,6 +129,7 @@ class Ordered:
         """Add the columns ``build(window)`` whose frames reach ``back`` rows back, ``ahead`` ahead."""
         if not self.split:
             return replace(self, df=self.df.withColumns(dict(build(self.window))))
+        self = self._stored()
         if max(back, ahead) > self.cuts.reach:
             raise ValueError(f"measure with find_cuts(..., reach={max(back, ahead)}) for frames this long")
         source = self.df.withColumn(_GHOST, F.lit(False))
@@ -128,17 +140,18 @@ class Ordered:
         ):
             if reach:
                 rank = F.row_number().over(Window.partitionBy(*self.keys, _PART).orderBy(*ordering))
-                edge = self.df.where(F.col(_CUTS).isNotNull()).withColumn(_RN, rank)
+                edge = self.df.where(F.col(_CUTS)).withColumn(_RN, rank)
                 edge = edge.where(F.col(_RN) <= reach).drop(_RN)
                 pieces.append(edge.withColumn(_PART, F.col(_PART) + step).withColumn(_GHOST, F.lit(True)))
         merged = pieces[0]
         for piece in pieces[1:]:
             merged = merged.unionByName(piece)
         result = merged.withColumns(dict(build(self.window))).where(~F.col(_GHOST)).drop(_GHOST)
-        return replace(self, df=result)
+        return replace(self, df=result, stored=False)
 
     def running(self, totals: Mapping[str, Column | str], include_current: bool = True) -> "Ordered":
         """Add running sums from the start of the group up to (or just before) each row."""
+        self = self._stored()
         frame = self.window.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
         summed = {out: F.sum(value).over(frame) for out, value in totals.items()}
         inner = self.df.withColumns(summed)
@@ -151,13 +164,15 @@ class Ordered:
         merged = {
             out: F.coalesce(F.col(f"_c_{out}") + F.col(out), F.col(f"_c_{out}"), F.col(out)) for out in totals
         }
-        return replace(self, df=joined.withColumns(merged).drop(*[f"_c_{o}" for o in totals]))
+        done = joined.withColumns(merged).drop(*[f"_c_{o}" for o in totals])
+        return replace(self, df=done, stored=False)
 
     def fill(self, columns: Mapping[str, str], backward: bool = False) -> "Ordered":
         """Add ``{out: column}`` filled with the last value present so far in the group.
 
         With ``backward`` the rows before the first value take that first value.
         """
+        self = self._stored()
         before = self.window.rowsBetween(Window.unboundedPreceding, 0)
         whole = self.window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         inner = self.df.withColumns({o: F.last(c, ignorenulls=True).over(before) for o, c in columns.items()})
@@ -187,10 +202,14 @@ class Ordered:
                 for o in columns
             }
         filled = inner.withColumns({o: F.coalesce(*options) for o, options in chain.items()})
-        return replace(self, df=filled.drop(*[f"_{m}_{o}" for o in columns for m in "flg"]))
+        done = filled.drop(*[f"_{m}_{o}" for o in columns for m in "flg"])
+        return replace(self, df=done, stored=not self.split)
+
+    def _stored(self) -> "Ordered":
+        return self if self.stored else replace(self, df=_store(self.df), stored=True)
 
     def _per_part(self, aggregates: Sequence[Column]) -> DataFrame:
-        return self.df.where(F.col(_CUTS).isNotNull()).groupBy(*self.keys, _PART).agg(*aggregates)
+        return self.df.where(F.col(_CUTS)).groupBy(*self.keys, _PART).agg(*aggregates)
 
     def _attach(self, df: DataFrame, per_part: DataFrame) -> DataFrame:
         return _join(df, per_part, (*self.keys, _PART), self.cuts.small)
@@ -219,4 +238,5 @@ def ordered(
         else:
             df = df.withColumn(_CUTS, cuts.table.scalar())
         df = df.withColumn(_PART, _count_cuts_upto(F.col(_CUTS), F.struct(*order)))
+        df = _store(df.withColumn(_CUTS, F.col(_CUTS).isNotNull()))
     return Ordered(df, keys, order, cuts)

@@ -102,7 +102,7 @@ def id_list(text: ColumnLike) -> Column:
     """
     lines = F.transform(F.split(as_column(text), "\n"), lambda line: F.trim(F.replace(line, F.lit("\r"))))
     pieces = F.split(F.array_join(F.slice(lines, 3, 1_000_000_000), ""), ",")
-    return F.filter(F.transform(pieces, F.trim), lambda piece: piece.rlike("^[0-9]+$"))
+    return F.filter(F.transform(pieces, lambda piece: F.trim(piece)), lambda piece: piece.rlike("^[0-9]+$"))
 
 
 def parse_id_list(df: DataFrame, text: str = "value", out: str = "match_id") -> DataFrame:
