@@ -34,7 +34,9 @@ _DOCUMENT = f"""to_json(named_struct('tm', map_from_arrays(array('1', '2', 'x'),
 
 
 def raw_documents(t: Tables) -> DataFrame:
-    return t.orders.select(F.col("o_orderkey").alias("match_id"), F.expr(_DOCUMENT).alias("json"))
+    # One small file of orders becomes many large documents, so the rows are spread out first.
+    orders = t.orders.repartition(t.spark.sparkContext.defaultParallelism, "o_orderkey")
+    return orders.select(F.col("o_orderkey").alias("match_id"), F.expr(_DOCUMENT).alias("json"))
 
 
 def _parsed(t: Tables) -> DataFrame:

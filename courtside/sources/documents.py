@@ -36,13 +36,16 @@ DOCUMENT_TYPE = (
 
 
 def parse_documents(df: DataFrame, json: str = "json", match: str = "match_id") -> DataFrame:
-    """Landed JSON text to a typed document; unreadable documents are dropped."""
-    return df.select(match, F.from_json(json, DOCUMENT_TYPE).alias("doc")).where("doc is not null")
+    """Landed JSON text to a typed document; an unreadable one has neither teams nor events."""
+    return df.select(match, F.from_json(json, DOCUMENT_TYPE).alias("doc"))
 
 
 def _teams(raw: DataFrame, match: str) -> DataFrame:
-    """One row per team with a whole-number id."""
-    entries = raw.select(match, F.explode("doc.tm").alias("tid", "team"))
+    """One row per team with a whole-number id.
+
+    The outer explode keeps Spark from adding a size filter that would parse each document twice.
+    """
+    entries = raw.select(match, F.explode_outer("doc.tm").alias("tid", "team"))
     return entries.withColumn("tid", F.col("tid").try_cast("int")).where("tid is not null")
 
 
@@ -115,8 +118,9 @@ def _player_name(tid: Column, pno: Column) -> Column:
 def pbp_rows(raw: DataFrame, match: str = "match_id") -> DataFrame:
     """One row per event; ``seq`` keeps the place in the feed."""
     events = _with_lookups(raw, match).select(
-        match, "_tids", "_tnames", "_pids", "_pnames", F.posexplode("doc.pbp").alias("seq", "e")
+        match, "_tids", "_tnames", "_pids", "_pnames", F.posexplode_outer("doc.pbp").alias("seq", "e")
     )
+    events = events.where("seq is not null")
     e = lambda field: F.col(f"e.{field}")
     return events.select(
         match,
@@ -137,7 +141,7 @@ def pbp_rows(raw: DataFrame, match: str = "match_id") -> DataFrame:
 def shot_rows(raw: DataFrame, match: str = "match_id") -> DataFrame:
     """One row per shot; its clock is that of the last event with the same action number."""
     per_team = _with_lookups(raw, match).select(
-        match, "_pids", "_pnames", "_actions", "_clocks", F.explode("doc.tm").alias("tid", "t")
+        match, "_pids", "_pnames", "_actions", "_clocks", F.explode_outer("doc.tm").alias("tid", "t")
     )
     shots = per_team.withColumn("tid", F.col("tid").try_cast("int")).where("tid is not null")
     shots = shots.select(
