@@ -67,7 +67,11 @@ SAME_MATCH_FEATURES = frozenset({"Fouls_Drawn", "Blowout_Risk", "Shot_Quality_Av
 
 @dataclass(frozen=True)
 class Boosting:
-    """Settings of one boosted-tree model."""
+    """Settings of one boosted-tree model.
+
+    With the absolute loss each round moves a forecast by at most ``step`` units of the target,
+    so ``step`` has to be small against the target's spread.
+    """
 
     loss: str = "absolute"
     depth: int = 4

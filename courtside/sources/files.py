@@ -56,13 +56,18 @@ def box_table(raw: DataFrame) -> DataFrame:
 
 
 def pbp_table(raw: DataFrame) -> DataFrame:
-    """Play-by-play with names tidied and its order columns; ``seq`` is the place in the feed.
+    """Play-by-play with names tidied and its order columns; ``seq`` is the place in the feed."""
+    return order_events(_tidy(raw))
+
 
-    A table written without ``seq`` gets one from the read order of its file.
+def with_file_order(read: DataFrame) -> DataFrame:
+    """Add ``seq``, which orders the rows of each file as they stand in it.
+
+    A large file is read in blocks by several tasks: the block's offset comes first, then the
+    row's place within its task.
     """
-    if "seq" not in raw.columns:
-        raw = raw.withColumn("seq", F.monotonically_increasing_id())
-    return order_events(_tidy(raw))
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return read.withColumn("seq", place)
 
 
 def shot_table(raw: DataFrame) -> DataFrame:
@@ -73,7 +78,7 @@ def read_season(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, D
     """The box, play-by-play and shot tables found under ``root``, ready for feature building."""
     return (
         box_table(read_delimited(spark, root, "*box_score*.csv", BOX_SCHEMA)),
-        pbp_table(read_delimited(spark, root, "*pbp*.csv", PBP_SCHEMA)),
+        pbp_table(with_file_order(read_delimited(spark, root, "*pbp*.csv", PBP_SCHEMA))),
         shot_table(read_delimited(spark, root, "*shots*.csv", SHOT_SCHEMA)),
     )
 
