@@ -14,6 +14,7 @@ from courtside.catalog.base import (
     day_text,
     query,
     r6,
+    stored_box,
 )
 from courtside.functions import (
     classify,
@@ -34,8 +35,10 @@ from courtside.functions import (
 from courtside.functions.labels import GRAVITY_WEIGHTS, SIZE_WEIGHTS, position_rules
 from courtside.operators import matchups
 from courtside.operators.boxstats import side_totals
+from courtside.operators.ordered import find_cuts
 from courtside.operators.rolling import prior_mean
 from courtside.operators.shots import ZONE_POINTS, rate_by, zone_stats
+from courtside.session import measured, store
 
 # --- shots: quantity and tax as coordinates -----------------------------------------------
 
@@ -172,29 +175,33 @@ _CLASSES = """classes AS (SELECT player, rebounds * 2 + blocks * 5 AS size,
 _CLASSED = f"{_GAMES}, {_PROFILE}, {_CLASSES}, cg AS (SELECT games.*, cls, size FROM games JOIN classes USING (player))"
 
 
-def _games(t: Tables) -> DataFrame:
-    return matchups.opponent_map(box(t), "match_id", "team")
+def _games(games: DataFrame) -> DataFrame:
+    return matchups.opponent_map(games, "match_id", "team")
 
 
-def _profile(t: Tables) -> DataFrame:
-    return matchups.entity_profile(box(t), "player", ["rebounds", "blocks", "assists", "points"])
+def _profile(games: DataFrame) -> DataFrame:
+    return matchups.entity_profile(games, "player", ["rebounds", "blocks", "assists", "points"])
 
 
-def _classes(t: Tables) -> DataFrame:
+def _classes(games: DataFrame) -> DataFrame:
     """The position rules over statistics rescaled so that all classes occur."""
     reb, blk, ast, pts = (F.col(c) for c in ("rebounds", "blocks", "assists", "points"))
-    c, pg, pf, sg = zip(position_rules(reb * 1.5, blk / 8, ast * 0.7, pts / 2), position_rules(reb * 1.2, blk, ast * 0.5, pts / 2))
-    rules = [c[0], pg[0], pf[1], ((pts / 2 > 12) & (ast * 0.5 < 2.5), "SG")]
-    return _profile(t).select("player", classify(rules).alias("cls"), weighted_sum(SIZE_WEIGHTS).alias("size"))
+    center, guard, *_ = position_rules(reb * 1.5, blk / 8, ast * 0.7, pts / 2)
+    *_, forward, shooter = position_rules(reb * 1.2, blk / 8, ast * 0.5, pts / 2)
+    profile = _profile(games)
+    cls = classify([center, guard, forward, shooter])
+    return profile.select("player", cls.alias("cls"), weighted_sum(SIZE_WEIGHTS).alias("size"))
 
 
 def _classed(t: Tables) -> DataFrame:
-    return _games(t).join(_classes(t), "player")
+    """The box score with opponent, class and size, stored for the aggregates over it."""
+    games = stored_box(t)
+    return store(_games(games).join(measured(_classes(games)), "player"))
 
 
 @query("opponent_map", f"{_GAMES} SELECT match_id, team, player, opponent FROM games")
 def opponent_map(t: Tables) -> DataFrame:
-    return _games(t).select(*KEYS, "opponent")
+    return _games(box(t)).select(*KEYS, "opponent")
 
 
 _CROWD = """lines AS (SELECT l_orderkey AS match_id, l_linenumber AS team, l_partkey AS player FROM lineitem),
@@ -218,17 +225,17 @@ def opponent_map_many(t: Tables) -> DataFrame:
         round(assists, 6) AS assists, round(points, 6) AS points FROM profile""",
 )
 def entity_profile(t: Tables) -> DataFrame:
-    return _profile(t).select("player", *[r6(c).alias(c) for c in ("rebounds", "blocks", "assists", "points")])
+    return _profile(box(t)).select("player", *[r6(c).alias(c) for c in ("rebounds", "blocks", "assists", "points")])
 
 
 @query("classify", f"WITH {_BOX}, {_PROFILE}, {_CLASSES} SELECT player, cls FROM classes")
 def classes(t: Tables) -> DataFrame:
-    return _classes(t).select("player", "cls")
+    return _classes(box(t)).select("player", "cls")
 
 
 @query("size_index", f"WITH {_BOX}, {_PROFILE}, {_CLASSES} SELECT player, round(size, 6) AS size FROM classes")
 def size_index(t: Tables) -> DataFrame:
-    return _classes(t).select("player", r6("size").alias("size"))
+    return _classes(box(t)).select("player", r6("size").alias("size"))
 
 
 @query(
@@ -245,7 +252,7 @@ def opponent_totals(t: Tables) -> DataFrame:
         "rebounds": ("avg", "Opp_Pace"),
         "assists": ("max", "Opp_Max"),
     }
-    done = matchups.opponent_totals(_games(t), "match_id", "team", "opponent", aggs)
+    done = matchups.opponent_totals(_games(box(t)), "match_id", "team", "opponent", aggs)
     return done.select(*KEYS, "opponent", "Opp_Pts", "Opp_Fouls", r6("Opp_Pace").alias("Opp_Pace"), "Opp_Max")
 
 
@@ -285,9 +292,9 @@ def mismatch(t: Tables) -> DataFrame:
       LEFT JOIN al ON cg.opponent = al.opponent AND cg.cls = al.cls JOIN profile ON cg.player = profile.player""",
 )
 def suppressor(t: Tables) -> DataFrame:
-    allowed = matchups.mean_by_class(_classed(t), "opponent", "cls", {"allowed": "points"})
-    # The games carry no double rows here, so a player's own mean is that of the profile.
-    done = matchups.suppressor(allowed, "player", "points", "allowed")
+    games = _classed(t)
+    allowed = matchups.mean_by_class(games, "opponent", "cls", {"allowed": "points"})
+    done = matchups.suppressor(allowed, "player", "points", "allowed", base=games)
     return done.select(*KEYS, (r6("Def_Suppressor") + 0.0).alias("Def_Suppressor"))
 
 
@@ -339,7 +346,9 @@ def is_home(t: Tables) -> DataFrame:
 )
 def vs_opponent_hist(t: Tables) -> DataFrame:
     games = matchups.opponent_map(dated_box(t, "l_suppkey"), "match_id", "team").where("opponent is not null")
-    done = prior_mean(games, ("player", "opponent"), ("date", "match_id"), "points", "vs_mean")
+    keys, order = ("player", "opponent"), ("date", "match_id")
+    cuts = find_cuts(games, keys, order, coarse=(t.lineitem, ("l_suppkey",)))
+    done = prior_mean(games, keys, order, "points", "vs_mean", cuts)
     return done.select(*KEYS, "opponent", r6("vs_mean").alias("vs_mean"))
 
 

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions.cleaning import clock_seconds, ratio_zero_one
-from courtside.operators.ordered import MAX_GROUP_ROWS, Cuts, _names, ordered
+from courtside.operators.ordered import MAX_GROUP_ROWS, Cuts, _names, find_cuts, ordered
 
 #: Order of events inside a match; ``neg_sec`` is made by ``order_events``.
 EVENT_ORDER = ("period", "neg_sec", "seq")
@@ -66,7 +66,9 @@ def presence_mean(
 
     squad = roster.groupBy(grp, ent).agg(F.max(F.coalesce(starter, F.lit(0))).alias("_starter"))
     turns = logged.where(F.col(change).isNotNull()).join(squad, [grp, ent])
-    turns = ordered(turns, (grp, ent), ord, max_rows=max_rows).rows(
+    coming_and_going = events.where(F.col(change).isNotNull())
+    turn_cuts = find_cuts(turns, (grp, ent), ord, max_rows, coarse=(coming_and_going, (grp, ent)))
+    turns = ordered(turns, (grp, ent), ord, turn_cuts).rows(
         lambda w: {"_before": F.coalesce(F.lag(change).over(w), F.col("_starter"))}, back=1
     )
     sign = F.when(F.col(change) == 1, -1).otherwise(1)
@@ -100,11 +102,13 @@ def stints(
     """Presence intervals ``(came, left]`` in terms of ``ord``; null is an open end."""
     squad = roster.groupBy(grp, ent).agg(F.max(F.coalesce(starter, F.lit(0))).alias("_starter"))
     turns = events.where(F.col(change).isNotNull()).select(grp, ent, ord, change).join(squad, [grp, ent])
-    real = ordered(turns, (grp, ent), ord, max_rows=max_rows).rows(
+    flips = (events.where(F.col(change).isNotNull()), (grp, ent))
+    turn_cuts = find_cuts(turns, (grp, ent), ord, max_rows, coarse=flips)
+    real = ordered(turns, (grp, ent), ord, turn_cuts).rows(
         lambda w: {"_before": F.coalesce(F.lag(change).over(w), F.col("_starter"))}, back=1
     )
     real_turns = real.done().where(F.col(change) != F.col("_before")).select(grp, ent, ord, change)
-    paired = ordered(real_turns, (grp, ent), ord, max_rows=max_rows).rows(
+    paired = ordered(real_turns, (grp, ent), ord, turn_cuts).rows(
         lambda w: {"_came": F.lag(ord).over(w)}, back=1
     )
     closed = paired.done().where(F.col(change) == 0).select(grp, ent, F.col("_came").alias("came"), F.col(ord).alias("left"))

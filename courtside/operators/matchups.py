@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.operators.ordered import Cuts, _names, ordered
+from courtside.session import measured
 
 
 def opponent_map(df: DataFrame, grp: str, side: str, out: str = "opponent") -> DataFrame:
@@ -51,13 +52,18 @@ def opponent_totals(
 def mean_by_class(df: DataFrame, opp: str, cls: str, means: Mapping[str, str]) -> DataFrame:
     """Attach ``{out: value}`` means per (opponent, class): points allowed, size faced, minutes."""
     allowed = df.groupBy(opp, cls).agg(*[F.avg(value).alias(out) for out, value in means.items()])
-    return df.join(allowed, [opp, cls], "left")
+    return df.join(measured(allowed), [opp, cls], "left")
 
 
-def suppressor(df: DataFrame, ent: str, value: str, allowed: str, out: str = "Def_Suppressor") -> DataFrame:
-    """What the opponent allows minus what the entity averages."""
-    own = df.groupBy(ent).agg(F.avg(value).alias("_own"))
-    return df.join(own, ent, "left").withColumn(out, F.col(allowed) - F.col("_own")).drop("_own")
+def suppressor(
+    df: DataFrame, ent: str, value: str, allowed: str, out: str = "Def_Suppressor", base: DataFrame | None = None
+) -> DataFrame:
+    """What the opponent allows minus what the entity averages.
+
+    ``base`` is a cheaper table with the same values to average, where ``df`` is costly.
+    """
+    own = (df if base is None else base).groupBy(ent).agg(F.avg(value).alias("_own"))
+    return df.join(measured(own), ent, "left").withColumn(out, F.col(allowed) - F.col("_own")).drop("_own")
 
 
 def asof_aggregate(

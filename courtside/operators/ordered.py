@@ -25,7 +25,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from courtside.session import ensure_checkpoint_dir
+from courtside.session import store
 
 #: Largest group a single window task is given.
 MAX_GROUP_ROWS = 4_000_000
@@ -52,25 +52,37 @@ def _names(columns: str | Sequence[str]) -> tuple[str, ...]:
     return (columns,) if isinstance(columns, str) else tuple(columns)
 
 
+def _largest(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group and of the whole table."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return largest or 0, total or 0
+
+
 def find_cuts(
     df: DataFrame,
     keys: str | Sequence[str],
     order: str | Sequence[str],
     max_rows: int = MAX_GROUP_ROWS,
     reach: int = PICKS_PER_CUT - 1,
+    coarse: tuple[DataFrame, Sequence[str]] | None = None,
 ) -> Cuts:
     """Measure the groups of ``df`` and, where one exceeds ``max_rows``, say where to cut.
 
     Runs one count per group (pre-aggregated before its shuffle, only the key columns are read).
     Pass the result on to several operators over the same keys and order to measure once;
-    ``reach`` is the longest frame, in rows, that they will ask for.
+    ``reach`` is the longest frame, in rows, that they will ask for. Where ``df`` is costly to
+    compute, ``coarse`` names a cheaper table and keys whose groups are at least as large: if
+    those are small enough, ``df`` itself is not touched.
     """
     keys, order = _names(keys), _names(order)
     picks = max(PICKS_PER_CUT, reach + 1)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if not largest or largest <= max_rows:
-        return Cuts(keys, order, reach=picks - 1)
+    plain = Cuts(keys, order, reach=picks - 1)
+    if coarse is not None and _largest(*coarse)[0] <= max_rows:
+        return plain
+    largest, total = _largest(df, keys)
+    if largest <= max_rows:
+        return plain
     stride = max(1, max_rows // (2 * picks))
     picked = df.select(*keys, *order).where(F.pmod(F.xxhash64(*order), F.lit(stride)) == 0)
     # The picked rows are 1 in `stride`, so even a hot group fits this window.
@@ -91,11 +103,6 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -
     return left.join(right, same, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def _store(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def _count_cuts_upto(cuts: Column, row: Column) -> Column:
     """Number of sorted ``cuts`` not after ``row``, by halving steps."""
     steps = F.array(*[F.lit(1 << k) for k in range(21, -1, -1)])
@@ -206,7 +213,7 @@ class Ordered:
         return replace(self, df=done, stored=not self.split)
 
     def _stored(self) -> "Ordered":
-        return self if self.stored else replace(self, df=_store(self.df), stored=True)
+        return self if self.stored else replace(self, df=store(self.df), stored=True)
 
     def _per_part(self, aggregates: Sequence[Column]) -> DataFrame:
         return self.df.where(F.col(_CUTS)).groupBy(*self.keys, _PART).agg(*aggregates)
@@ -238,5 +245,5 @@ def ordered(
         else:
             df = df.withColumn(_CUTS, cuts.table.scalar())
         df = df.withColumn(_PART, _count_cuts_upto(F.col(_CUTS), F.struct(*order)))
-        df = _store(df.withColumn(_CUTS, F.col(_CUTS).isNotNull()))
+        df = store(df.withColumn(_CUTS, F.col(_CUTS).isNotNull()))
     return Ordered(df, keys, order, cuts)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions.cleaning import ratio_zero_one
 from courtside.operators.ordered import MAX_GROUP_ROWS, Cuts, _names, ordered
+from courtside.session import measured
 
 
 def lag_features(
@@ -213,7 +214,8 @@ def recent_only(
     else:
         since = F.date_sub(asof, days)
     # An entity is recent exactly if one of its rows is, so the filter reaches the scan.
-    return df.join(df.where(F.col(date) >= since).select(ent).distinct(), ent, "left_semi")
+    seen = df.where(F.col(date) >= since).select(ent).distinct()
+    return df.join(measured(seen), ent, "left_semi")
 
 
 def latest_snapshot(df: DataFrame, ent: str | Sequence[str], ord: str | Sequence[str]) -> DataFrame:

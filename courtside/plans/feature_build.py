@@ -21,6 +21,7 @@ from courtside.operators import event_log, matchups
 from courtside.operators.ordered import MAX_GROUP_ROWS, find_cuts
 from courtside.operators.shots import rate_by
 from courtside.operators.tables import fill_numeric
+from courtside.session import measured, store
 
 KEYS = ["match_id", "player"]
 PROFILE = ["rebounds", "blocks", "assists", "points"]
@@ -95,12 +96,12 @@ def matchup_features(df: DataFrame, box: DataFrame) -> DataFrame:
     positions = profile.select(
         "player", classify(position_rules()).alias("Pos_Est"), weighted_sum(SIZE_WEIGHTS).alias("Size_Index")
     )
-    full = matchups.opponent_totals(df.join(positions, "player", "left"), "match_id", "team", "opponent", _SIDE_AGGREGATES)
+    full = matchups.opponent_totals(df.join(measured(positions), "player", "left"), "match_id", "team", "opponent", _SIDE_AGGREGATES)
     full = matchups.mean_by_class(
         full, "opponent", "Pos_Est", {"Opp_Allowed_Pos_Avg": "points", "Opp_Avg_Size": "Size_Index"}
     )
     full = full.withColumn("Mismatch_Adv", F.col("Size_Index") - F.col("Opp_Avg_Size"))
-    return matchups.suppressor(full, "player", "points", "Opp_Allowed_Pos_Avg")
+    return matchups.suppressor(full, "player", "points", "Opp_Allowed_Pos_Avg", base=df)
 
 
 def matchup_features_asof(df: DataFrame) -> DataFrame:
@@ -147,6 +148,7 @@ def build_features(
     weight = season_weight("date", current_season) if "date" in box.columns else F.lit(1.0)
     df = df.withColumn("Season_Weight", weight)
     df = lineup_features(df, pbp, max_rows)
-    df = style_features(df, pbp, shots)
+    # Every matchup aggregate reads the rows so far once more, so these are stored.
+    df = store(style_features(df, pbp, shots))
     df = matchup_features_asof(df) if as_of else matchup_features(df, box)
     return fill_numeric(df)

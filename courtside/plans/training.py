@@ -33,7 +33,7 @@ from courtside.operators.evaluation import (
 from courtside.operators.ordered import MAX_GROUP_ROWS, find_cuts
 from courtside.operators.rolling import blend, difference, expanding, history_features, shrunk_rate
 from courtside.operators.tables import fill_along, fill_numeric, with_defaults
-from courtside.session import ensure_checkpoint_dir
+from courtside.session import ensure_checkpoint_dir, store
 
 PLAYER, ORDER = "player", ("date", "match_id")
 
@@ -228,13 +228,12 @@ def train_two_stage(
     rate_boosting = rate_boosting or (RECENT_RATE if recent else SMOOTHED_RATE)
     minutes_features, rate_features = (present_features(df, names, same_match) for names in wanted)
 
-    ensure_checkpoint_dir(df.sparkSession)
     keep = {*minutes_features, *rate_features, "Raw_PPM", "Season_Weight"} & set(df.columns)
     periods = [c for c in (f"L5_Q{q}_Activity" for q in (1, 2, 3, 4)) if c in df.columns]
     ids = [c for c in ("match_id", "team", "opponent") if c in df.columns]
     slim = df.select(PLAYER, *ids, "date", "points", "MIN_FL", *sorted(keep | set(periods)))
     # Both fits and the evaluation read this; boosting passes over it many times.
-    slim = with_defaults(slim, {"Season_Weight": 1.0}).checkpoint()
+    slim = store(with_defaults(slim, {"Season_Weight": 1.0}))
     cutoff = rank_cutoff(slim, "date") if recent else days_cutoff(slim, "date")
     train, test = split_at(slim, "date", cutoff)
 
@@ -252,7 +251,7 @@ def train_two_stage(
         minutes_features,
         rate_features,
     )
-    scored = models.predict(test).checkpoint()
+    scored = store(models.predict(test))
     models.stats = evaluate(scored, "residual" if recent else "mean_plus_std", periods)
     return models, scored
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Runtime SQL settings. Skewed join partitions are split even when the split costs a shuffle.
 SETTINGS = {
@@ -16,6 +16,10 @@ SETTINGS = {
 }
 
 
+#: A table of at most this many rows (keys and a few numbers each) may be broadcast.
+MAX_BROADCAST_ROWS = 500_000
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session the caller owns."""
     for key, value in SETTINGS.items():
@@ -41,3 +45,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="courtside-checkpoint-")
     context.setCheckpointDir(folder)
     return folder
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write the table to the checkpoint folder and go on from there, without its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def measured(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Compute a join side once and mark it for broadcast if it turned out small enough.
+
+    Meant for aggregates with few keys: a broadcast then spares the large side its shuffle. A
+    larger result is joined by shuffle, where adaptive execution splits skewed partitions.
+    """
+    stored = store(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored

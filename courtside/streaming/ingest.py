@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from courtside.operators.tables import new_only
+from courtside.session import measured, store
 from courtside.sources.documents import box_rows, match_dates, parse_documents, pbp_rows, shot_rows
 
 #: A landed record: match id, document text, page text.
@@ -32,21 +33,25 @@ def ingested(spark: SparkSession, out: str, before: int | None = None) -> DataFr
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, out: str) -> None:
-    """Flatten the new matches of one batch and write them under the batch's own folders."""
-    spark = batch.sparkSession
-    first = F.min_by(F.struct("json", "html"), F.struct("_file", "json")).alias("d")
-    fresh = batch.groupBy("match_id").agg(first).select("match_id", "d.json", "d.html")
-    done = ingested(spark, out, before=batch_id)
-    if done is not None:
-        fresh = new_only(fresh, done, "match_id")
-    # The three tables must agree on the chosen documents, so these are written once and read back.
-    fresh.write.mode("overwrite").parquet(_batch_path(out, "raw", batch_id))
-    fresh = spark.read.schema(LANDING_SCHEMA).parquet(_batch_path(out, "raw", batch_id))
+    """Flatten the new matches of one batch and write them under the batch's own folders.
+
+    Which matches are new is settled on their ids alone, so that the documents themselves are
+    not shuffled; only those landed more than once are compared with each other.
+    """
+    copies = batch.groupBy("match_id").agg(F.count(F.lit(1)).alias("_n"))
+    done = ingested(batch.sparkSession, out, before=batch_id)
+    copies = store(copies if done is None else new_only(copies, done, "match_id"))
+    single = batch.join(measured(copies.where("_n = 1").select("match_id")), "match_id", "left_semi")
+    landed_twice = batch.join(measured(copies.where("_n > 1").select("match_id")), "match_id", "left_semi")
+    first = F.min_by(F.struct("json", "html"), F.struct("_file", "json", "html")).alias("d")
+    chosen = landed_twice.groupBy("match_id").agg(first).select("match_id", "d.json", "d.html")
+    fresh = single.select("match_id", "json", "html").unionByName(chosen)
+
     raw = parse_documents(fresh)
     tables = {"pbp": pbp_rows(raw), "shots": shot_rows(raw), "box": box_rows(raw, match_dates(fresh))}
     for name in TABLES:
         tables[name].write.mode("overwrite").parquet(_batch_path(out, name, batch_id))
-    raw.select("match_id").write.mode("overwrite").parquet(_batch_path(out, "done", batch_id))
+    copies.select("match_id").write.mode("overwrite").parquet(_batch_path(out, "done", batch_id))
 
 
 def ingest_stream(spark: SparkSession, landing: str, out: str, checkpoint: str) -> StreamingQuery:
