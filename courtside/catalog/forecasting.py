@@ -169,10 +169,10 @@ def edge_rules(t: Tables) -> DataFrame:
           match_id DESC) AS rn FROM scored) WHERE rn = 1 AND CAST(date AS DATE) >= (SELECT CAST(max(date) AS DATE) - 60 FROM scored))
         SELECT player, c_mktsegment AS team, strftime(date, '%Y-%m-%d') AS last_played, round(yhat, 6) AS form,
           round(y - yhat, 6) + 0.0 AS edge FROM latest JOIN customer ON player = c_custkey
-        WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') ORDER BY edge DESC, player LIMIT 50""",
+        WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') ORDER BY edge DESC, player""",
 )
 def matchup_list(t: Tables) -> DataFrame:
-    """The 50 active players of two sides furthest above their form."""
+    """The active players of two sides, those furthest above their form first."""
     sides = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
     teams = sides.select(F.col("c_custkey").alias("player"), F.col("c_mktsegment").alias("team"))
     scored = _scored(t)
@@ -186,7 +186,7 @@ def matchup_list(t: Tables) -> DataFrame:
         r6("yhat").alias("form"),
         (r6(F.col("y") - F.col("yhat")) + 0.0).alias("edge"),
     )
-    return listed.orderBy(F.desc("edge"), "player").limit(50)
+    return listed.orderBy(F.desc("edge"), "player")
 
 
 _MODEL_MEANS = {

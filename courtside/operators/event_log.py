@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions.cleaning import clock_seconds, ratio_zero_one
 from courtside.operators.ordered import MAX_GROUP_ROWS, Cuts, _names, find_cuts, ordered
+from courtside.session import store
 
 #: Order of events inside a match; ``neg_sec`` is made by ``order_events``.
 EVENT_ORDER = ("period", "neg_sec", "seq")
@@ -51,23 +52,24 @@ def presence_mean(
     ord = _names(ord)
     work = ordered(events.select(grp, ent, *ord, score, change), grp, ord, cuts, max_rows)
     work = work.fill({"_total": score})
+    known, previous = F.coalesce("_total", F.lit(0)), lambda w: F.coalesce(F.lag("_total").over(w), F.lit(0))
     work = work.rows(
         lambda w: {
-            "_moved": F.when(
-                F.coalesce("_total", F.lit(0)) != F.coalesce(F.lag("_total").over(w), F.lit(0)), 1
-            ).otherwise(0)
+            "_moved": F.when(known != previous(w), 1).otherwise(0),
+            "_last": F.lead(F.lit(True)).over(w).isNull(),
         },
         back=1,
+        ahead=1,
     )
-    logged = work.running({"_moves": "_moved"}).done().withColumn("_total", F.coalesce("_total", F.lit(0)))
-    match_end = logged.groupBy(grp).agg(
-        F.max_by("_total", F.struct(*ord)).alias("_end_total"), F.max("_moves").alias("_end_moves")
-    )
+    logged = work.running({"_moves": "_moved"}).done().withColumn("_total", known)
+    # From here on only the comings and goings and each match's last event matter. They are a
+    # fraction of the log and read twice, so they are stored.
+    logged = store(logged.where(F.col(change).isNotNull() | F.col("_last")))
+    match_end = logged.where("_last").select(grp, F.col("_total").alias("_end_total"), F.col("_moves").alias("_end_moves"))
 
     squad = roster.groupBy(grp, ent).agg(F.max(F.coalesce(starter, F.lit(0))).alias("_starter"))
     turns = logged.where(F.col(change).isNotNull()).join(squad, [grp, ent])
-    coming_and_going = events.where(F.col(change).isNotNull())
-    turn_cuts = find_cuts(turns, (grp, ent), ord, max_rows, coarse=(coming_and_going, (grp, ent)))
+    turn_cuts = find_cuts(turns, (grp, ent), ord, max_rows, coarse=(logged, (grp, ent)))
     turns = ordered(turns, (grp, ent), ord, turn_cuts).rows(
         lambda w: {"_before": F.coalesce(F.lag(change).over(w), F.col("_starter"))}, back=1
     )

@@ -3,19 +3,17 @@
 A window over ``partitionBy(keys)`` puts a whole group into one task. That is the cheapest plan
 while groups are small, and a dead end when one group holds a third of the table. So the group
 sizes are measured first (``find_cuts``). If none is too large the plain window runs. Otherwise
-large groups are cut into parts along the order, each part is a window partition of its own, and
-what crosses a part border is carried over exactly:
+the table is range-partitioned by keys and order, which cuts a large group into parts along its
+order, and stored with the part number. Each part of a group is then a window partition of its
+own, and what crosses a part border is carried over exactly:
 
 * a bounded frame gets copies of the few rows before (after) the part, dropped afterwards;
 * a running total or fill gets one summary row per part, combined over the parts of a group.
 
-Both read the table twice, so in this mode it is checkpointed on entry and between chained steps:
-each step then costs two reads, however long the chain and whatever made the table.
-
-Parts are cut at rows picked by a hash of the order columns, so the cuts are the same however
-often the input is recomputed, and ties in the first order column do not matter as long as the
-order columns together are unique within a group. The picking only balances the parts: every row
-takes part in the result.
+At most one group crosses each border, so whatever is carried over is bounded by the number of
+parts. The order columns together must be unique within a group. Where the borders fall only
+balances the work: every row takes part in the result. Between chained steps the table is stored
+again, since each step reads it twice.
 """
 
 from __future__ import annotations
@@ -29,23 +27,19 @@ from courtside.session import store
 
 #: Largest group a single window task is given.
 MAX_GROUP_ROWS = 4_000_000
-#: Rows picked per cut, unless frames reach further: a part must hold the longest frame.
-PICKS_PER_CUT = 32
-#: A cut table of at most this many rows is broadcast; a larger one is joined by shuffle.
-MAX_BROADCAST_CUTS = 200_000
+#: Most parts a table is cut into; beyond it the parts grow, and carried rows stay broadcastable.
+MAX_PARTS = 20_000
 
-_PART, _CUTS, _GHOST, _RN = "_part", "_cuts", "_ghost", "_rn"
+_PART, _GHOST, _RN, _UNTIL = "_part", "_ghost", "_rn", "_until"
 
 
 @dataclass(frozen=True)
 class Cuts:
-    """Where the large groups of a table are cut; ``table`` is None if no group is large."""
+    """Into how many parts a table is cut along keys and order; 0 leaves it whole."""
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    table: DataFrame | None = None
-    small: bool = True
-    reach: int = PICKS_PER_CUT - 1
+    parts: int = 0
 
 
 def _names(columns: str | Sequence[str]) -> tuple[str, ...]:
@@ -64,67 +58,44 @@ def find_cuts(
     keys: str | Sequence[str],
     order: str | Sequence[str],
     max_rows: int = MAX_GROUP_ROWS,
-    reach: int = PICKS_PER_CUT - 1,
     coarse: tuple[DataFrame, Sequence[str]] | None = None,
 ) -> Cuts:
-    """Measure the groups of ``df`` and, where one exceeds ``max_rows``, say where to cut.
+    """Measure the groups of ``df`` and decide whether it has to be cut.
 
     Runs one count per group (pre-aggregated before its shuffle, only the key columns are read).
-    Pass the result on to several operators over the same keys and order to measure once;
-    ``reach`` is the longest frame, in rows, that they will ask for. Where ``df`` is costly to
-    compute, ``coarse`` names a cheaper table and keys whose groups are at least as large: if
-    those are small enough, ``df`` itself is not touched.
+    Pass the result on to several operators over the same keys and order to measure once. Where
+    ``df`` is costly to compute, ``coarse`` names a cheaper table and keys whose groups are at
+    least as large: if those are small enough, ``df`` itself is not touched.
     """
     keys, order = _names(keys), _names(order)
-    picks = max(PICKS_PER_CUT, reach + 1)
-    plain = Cuts(keys, order, reach=picks - 1)
     if coarse is not None and _largest(*coarse)[0] <= max_rows:
-        return plain
+        return Cuts(keys, order)
     largest, total = _largest(df, keys)
     if largest <= max_rows:
-        return plain
-    stride = max(1, max_rows // (2 * picks))
-    picked = df.select(*keys, *order).where(F.pmod(F.xxhash64(*order), F.lit(stride)) == 0)
-    # The picked rows are 1 in `stride`, so even a hot group fits this window.
-    numbered = picked.withColumn(_RN, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    cut_rows = numbered.where(F.col(_RN) % picks == 0)
-    table = cut_rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order))).alias(_CUTS))
-    small = total // (stride * picks) <= MAX_BROADCAST_CUTS
-    return Cuts(keys, order, table, small, picks - 1)
-
-
-def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Left join that matches missing keys too, so that they form a group like in a window."""
-    right = right.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
-    )
-    right = F.broadcast(right) if small else right
-    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(right, same, "left").drop(*[f"_r_{k}" for k in keys])
-
-
-def _count_cuts_upto(cuts: Column, row: Column) -> Column:
-    """Number of sorted ``cuts`` not after ``row``, by halving steps."""
-    steps = F.array(*[F.lit(1 << k) for k in range(21, -1, -1)])
-    return F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) <= row, at + step).otherwise(at)
-    )
+        return Cuts(keys, order)
+    return Cuts(keys, order, min(MAX_PARTS, max(2, -(-2 * total // max_rows))))
+
+
+def _matching(keys: Sequence[str]) -> list[Column]:
+    """Keys equal those of the other side (``_r_`` columns), a missing key matching a missing one."""
+    return [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+
+
+def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return F.broadcast(df.withColumnsRenamed({k: f"_r_{k}" for k in keys}))
 
 
 @dataclass(frozen=True)
 class Ordered:
-    """A table with its group keys, order and, where groups are large, their parts."""
+    """A table with its group keys, order and, where it is cut, the groups that cross borders."""
 
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    cuts: Cuts
+    crossing: DataFrame | None = None
+    split: bool = False
     stored: bool = True
 
-    @property
-    def split(self) -> bool:
-        return self.cuts.table is not None
-
     @property
     def window(self) -> WindowSpec:
         parts = (_PART,) if self.split else ()
@@ -137,25 +108,37 @@ class Ordered:
         if not self.split:
             return replace(self, df=self.df.withColumns(dict(build(self.window))))
         self = self._stored()
-        if max(back, ahead) > self.cuts.reach:
-            raise ValueError(f"measure with find_cuts(..., reach={max(back, ahead)}) for frames this long")
-        source = self.df.withColumn(_GHOST, F.lit(False))
-        pieces = [source]
-        for reach, step, ordering in (
-            (back, 1, [F.desc_nulls_last(c) for c in self.order]),
-            (ahead, -1, [F.asc_nulls_first(c) for c in self.order]),
-        ):
-            if reach:
-                rank = F.row_number().over(Window.partitionBy(*self.keys, _PART).orderBy(*ordering))
-                edge = self.df.where(F.col(_CUTS)).withColumn(_RN, rank)
-                edge = edge.where(F.col(_RN) <= reach).drop(_RN)
-                pieces.append(edge.withColumn(_PART, F.col(_PART) + step).withColumn(_GHOST, F.lit(True)))
-        merged = pieces[0]
-        for piece in pieces[1:]:
-            merged = merged.unionByName(piece)
+        merged = self.df.withColumn(_GHOST, F.lit(False))
+        for copies in (self._copies(back, forward=True), self._copies(ahead, forward=False)):
+            if copies is not None:
+                merged = merged.unionByName(copies.withColumn(_GHOST, F.lit(True)))
         result = merged.withColumns(dict(build(self.window))).where(~F.col(_GHOST)).drop(_GHOST)
         return replace(self, df=result, stored=False)
 
+    def _copies(self, reach: int, forward: bool) -> DataFrame | None:
+        """Rows that frames of ``reach`` rows need in parts other than their own.
+
+        The last (first) ``reach`` rows of every part are enough to choose from. Such a row goes to
+        each later (earlier) part up to the one that holds the ``reach``-th of these rows after it.
+        """
+        if not reach:
+            return None
+        near, far = (F.desc_nulls_last, F.asc_nulls_first) if forward else (F.asc_nulls_first, F.desc_nulls_last)
+        rank = F.row_number().over(Window.partitionBy(*self.keys, _PART).orderBy(*map(near, self.order)))
+        edge = self._crossing_rows().withColumn(_RN, rank).where(F.col(_RN) <= reach).drop(_RN)
+        group = Window.partitionBy(*self.keys)
+        end = (F.max if forward else F.min)(_PART).over(group)
+        until = F.coalesce(F.lead(_PART, reach).over(group.orderBy(*map(far, self.order))), end)
+        step = 1 if forward else -1
+        wanted = edge.withColumn(_UNTIL, until).where(F.col(_UNTIL) != F.col(_PART))
+        parts = F.explode(F.sequence(F.col(_PART) + step, F.col(_UNTIL), F.lit(step)))
+        return wanted.withColumn(_PART, parts).drop(_UNTIL)
+
+    def _crossing_rows(self) -> DataFrame:
+        if not self.keys:
+            return self.df
+        return self.df.join(_renamed(self.crossing, self.keys), _matching(self.keys), "left_semi")
+
     def running(self, totals: Mapping[str, Column | str], include_current: bool = True) -> "Ordered":
         """Add running sums from the start of the group up to (or just before) each row."""
         self = self._stored()
@@ -216,13 +199,14 @@ class Ordered:
         return self if self.stored else replace(self, df=store(self.df), stored=True)
 
     def _per_part(self, aggregates: Sequence[Column]) -> DataFrame:
-        return self.df.where(F.col(_CUTS)).groupBy(*self.keys, _PART).agg(*aggregates)
+        return self._crossing_rows().groupBy(*self.keys, _PART).agg(*aggregates)
 
     def _attach(self, df: DataFrame, per_part: DataFrame) -> DataFrame:
-        return _join(df, per_part, (*self.keys, _PART), self.cuts.small)
+        keys = (*self.keys, _PART)
+        return df.join(_renamed(per_part, keys), _matching(keys), "left").drop(*[f"_r_{k}" for k in keys])
 
     def done(self) -> DataFrame:
-        return self.df.drop(_PART, _CUTS) if self.split else self.df
+        return self.df.drop(_PART) if self.split else self.df
 
 
 def ordered(
@@ -231,19 +215,17 @@ def ordered(
     order: str | Sequence[str],
     cuts: Cuts | None = None,
     max_rows: int = MAX_GROUP_ROWS,
-    reach: int = PICKS_PER_CUT - 1,
 ) -> Ordered:
     """Prepare ``df`` for ordered work by ``keys`` along ``order`` (unique within a group)."""
     keys, order = _names(keys), _names(order)
     if cuts is None:
-        cuts = find_cuts(df, keys, order, max_rows, reach)
+        cuts = find_cuts(df, keys, order, max_rows)
     if cuts.keys != keys or cuts.order != order:
         raise ValueError(f"cuts were made for {cuts.keys} along {cuts.order}")
-    if cuts.table is not None:
-        if keys:
-            df = _join(df, cuts.table, keys, cuts.small)
-        else:
-            df = df.withColumn(_CUTS, cuts.table.scalar())
-        df = df.withColumn(_PART, _count_cuts_upto(F.col(_CUTS), F.struct(*order)))
-        df = store(df.withColumn(_CUTS, F.col(_CUTS).isNotNull()))
-    return Ordered(df, keys, order, cuts)
+    if not cuts.parts:
+        return Ordered(df, keys, order)
+    ranged = df.repartitionByRange(cuts.parts, *keys, *order)
+    df = store(ranged.withColumn(_PART, F.spark_partition_id()))
+    spans = df.groupBy(*keys).agg(F.min(_PART).alias("_lo"), F.max(_PART).alias("_hi"))
+    crossing = store(spans.where("_lo < _hi").select(*keys)) if keys else None
+    return Ordered(df, keys, order, crossing, split=True)

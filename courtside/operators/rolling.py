@@ -25,7 +25,7 @@ def lag_features(
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``L{k}_{col}``: the value ``k`` rows back."""
-    work = ordered(df, ent, ord, cuts, max_rows, reach=k)
+    work = ordered(df, ent, ord, cuts, max_rows)
     return work.rows(lambda w: {f"L{k}_{c}": F.lag(c, k).over(w) for c in _names(cols)}, back=k).done()
 
 
@@ -46,7 +46,7 @@ def rolling_mean(
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``L{n}_{col}``: mean over the previous ``n`` rows with at least ``min_periods`` values."""
-    work = ordered(df, ent, ord, cuts, max_rows, reach=max(windows))
+    work = ordered(df, ent, ord, cuts, max_rows)
     return work.rows(
         lambda w: {f"L{n}_{c}": _window_mean(w, c, n, min_periods) for c in _names(cols) for n in windows},
         back=max(windows),
@@ -70,7 +70,7 @@ def history_features(
         lagged = {f"L1_{c}": F.lag(c, 1).over(w) for c in lags}
         return lagged | {out: _window_mean(w, c, n, least) for out, (c, n, least) in means.items()}
 
-    return ordered(df, ent, ord, cuts, max_rows, reach).rows(build, back=reach).done()
+    return ordered(df, ent, ord, cuts, max_rows).rows(build, back=reach).done()
 
 
 def expanding(
@@ -185,7 +185,7 @@ def rolling_std(
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Population standard deviation over the previous ``n`` rows."""
-    work = ordered(df, ent, ord, cuts, max_rows, reach=n)
+    work = ordered(df, ent, ord, cuts, max_rows)
     return work.rows(lambda w: {out: F.stddev_pop(col).over(w.rowsBetween(-n, -1))}, back=n).done()
 
 

@@ -96,7 +96,7 @@ def _with_position_code(df: DataFrame) -> DataFrame:
     return with_defaults(df, {"Pos_Code": POSITION_DEFAULT})
 
 
-def prepare_features(
+def recent_features(
     df: DataFrame, row_order: str | Sequence[str] | None = None, max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Recent-form features: last, last 5 and last 10 matches of every metric.
@@ -124,7 +124,7 @@ def prepare_features(
     return fill_numeric(df.drop("_fouls"))
 
 
-def engineer_features(
+def smoothed_features(
     df: DataFrame,
     prior: Column | None = None,
     max_rows: int = MAX_GROUP_ROWS,
@@ -217,8 +217,8 @@ def train_two_stage(
 ) -> tuple[TwoStage, DataFrame]:
     """Split by time, fit minutes and rate, evaluate; returns the models and the scored test rows.
 
-    ``recent`` splits at 80 % of the dates and trains on the output of ``prepare_features``;
-    ``smoothed`` tests on the last 60 days and trains on that of ``engineer_features``.
+    ``recent`` splits at 80 % of the dates and trains on the output of ``recent_features``;
+    ``smoothed`` tests on the last 60 days and trains on that of ``smoothed_features``.
     """
     recent = generation == "recent"
     wanted = (

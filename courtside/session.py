@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -48,9 +49,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def store(df: DataFrame) -> DataFrame:
-    """Write the table to the checkpoint folder and go on from there, without its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write the table under the checkpoint folder and go on from the written copy.
+
+    That cuts the lineage, keeps column pruning, and tells the planner the real size. The copies
+    stay until the folder is cleaned, like checkpoints do.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def measured(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

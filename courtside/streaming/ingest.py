@@ -7,6 +7,7 @@ skipped; within a batch the first landed copy of a match counts.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,10 +26,12 @@ def _batch_path(out: str, table: str, batch: int) -> str:
 
 def ingested(spark: SparkSession, out: str, before: int | None = None) -> DataFrame | None:
     """Ids of the matches ingested so far (by batches numbered below ``before``)."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/done")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    try:
+        done = spark.read.schema("match_id BIGINT, batch_id BIGINT").parquet(f"{out}/done")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    done = spark.read.schema("match_id BIGINT, batch_id BIGINT").parquet(f"{out}/done")
     return done if before is None else done.where(F.col("batch_id") < before)
 
 

@@ -31,11 +31,19 @@ def both(fn):
 
 
 def test_cuts_only_where_needed(hot):
-    assert find_cuts(hot, "k", ("d", "id"), max_rows=10**6).table is None
+    assert find_cuts(hot, "k", ("d", "id"), max_rows=10**6).parts == 0
     cuts = find_cuts(hot, "k", ("d", "id"), max_rows=SPLIT)
-    assert "hot" in {r.k for r in cuts.table.collect()}
-    parts = ordered(hot, "k", ("d", "id"), cuts).df.where("k = 'hot'").groupBy("_part").count().collect()
-    assert len(parts) > 5 and max(r["count"] for r in parts) < 4 * SPLIT
+    assert cuts.parts == 45
+    work = ordered(hot, "k", ("d", "id"), cuts)
+    parts = work.df.where("k = 'hot'").groupBy("_part").agg(F.count("*").alias("n"), F.min("d"), F.max("d")).collect()
+    assert len(parts) > 5 and max(r.n for r in parts) < 4 * SPLIT
+    assert "hot" in {r.k for r in work.crossing.collect()} and work.crossing.count() < cuts.parts
+
+
+def test_coarse_groups_decide(hot):
+    fine = hot.where("m > 100")
+    assert find_cuts(fine, ("k", "m"), "id", max_rows=10**6, coarse=(hot, ("k",))).parts == 0
+    assert find_cuts(hot, ("k", "m"), "id", max_rows=SPLIT, coarse=(hot, ("k",))).parts > 0
 
 
 @pytest.mark.parametrize(
@@ -62,10 +70,14 @@ def test_split_equals_plain(hot, fn):
     assert split == plain
 
 
-def test_shuffled_cuts_equal_broadcast_cuts(hot, monkeypatch):
-    plain = rows_of(rolling.expanding(hot, "k", ("d", "id"), "v"))
-    monkeypatch.setattr("courtside.operators.ordered.MAX_BROADCAST_CUTS", 0)
-    assert rows_of(rolling.expanding(hot, "k", ("d", "id"), "v", max_rows=SPLIT)) == plain
+def test_parts_smaller_than_the_frame(hot, monkeypatch):
+    """Parts of one or two rows, so that frames reach over many of them."""
+    monkeypatch.setattr("courtside.operators.ordered.MAX_PARTS", 400)
+    some = hot.where("id < 300")
+    work = ordered(some, "k", ("d", "id"), max_rows=1)
+    frames = lambda w: {"b": F.sum("m").over(w.rowsBetween(-7, -1)), "a": F.sum("m").over(w.rowsBetween(1, 5))}
+    split = rows_of(work.rows(frames, back=7, ahead=5).done())
+    assert split == rows_of(ordered(some, "k", ("d", "id")).rows(frames, back=7, ahead=5).done())
 
 
 def test_fill_against_pandas(hot):

@@ -85,14 +85,14 @@ def test_history_does_not_know_its_own_match(league):
     names = {*training.RECENT_MINUTES_FEATURES, *training.RECENT_RATE_FEATURES} - training.SAME_MATCH_FEATURES
 
     def last_rows(table):
-        ready = training.prepare_features(feature_build.build_features(table, pbp, shots, 2023, as_of=True))
+        ready = training.recent_features(feature_build.build_features(table, pbp, shots, 2023, as_of=True))
         return rows_of(ready.where(F.col("date") == last).select("player", *sorted(names & set(ready.columns))))
 
     assert last_rows(box) == last_rows(bumped)
 
 
 def test_recent_features_against_pandas(features):
-    got = training.prepare_features(features).toPandas().sort_values(["player", "date", "match_id"]).reset_index(drop=True)
+    got = training.recent_features(features).toPandas().sort_values(["player", "date", "match_id"]).reset_index(drop=True)
     past = got.groupby("player")["points"].transform(lambda s: s.shift(1).rolling(10, min_periods=1).mean()).fillna(0)
     assert (got["L10_points"] - past).abs().max() < 1e-9
     rate = got.groupby("player")["Raw_PPM"].transform(lambda s: s.shift(1).rolling(5).mean()).fillna(0)
@@ -100,7 +100,7 @@ def test_recent_features_against_pandas(features):
 
 
 def test_smoothed_features_against_pandas(features):
-    got = training.engineer_features(features).toPandas().sort_values(["player", "date", "match_id"]).reset_index(drop=True)
+    got = training.smoothed_features(features).toPandas().sort_values(["player", "date", "match_id"]).reset_index(drop=True)
     by = got.groupby("player")
     minutes = by["MIN_FL"].transform(lambda s: s.expanding().sum().shift(1)).fillna(0)
     points = by["points"].transform(lambda s: s.expanding().sum().shift(1)).fillna(0)
@@ -117,7 +117,7 @@ QUICK_RATE = Boosting("absolute", 3, 0.02, 6)  # a step is in units of the targe
 
 @pytest.fixture(scope="module")
 def trained(features):
-    ready = training.prepare_features(features)
+    ready = training.recent_features(features)
     return ready, *training.train_two_stage(ready, "recent", QUICK, QUICK_RATE)
 
 
@@ -131,7 +131,7 @@ def test_models_beat_the_mean(trained):
 
 
 def test_smoothed_generation(features):
-    ready = training.engineer_features(features)
+    ready = training.smoothed_features(features)
     models, scored = training.train_two_stage(ready, "smoothed", QUICK, Boosting("squared", 3, 0.3, 6, 0.9, 0.7))
     days = scored.agg(F.datediff(F.max("date"), F.min("date"))).first()[0]
     assert days <= 60 and models.stats["mae_points"] < 6

@@ -13,7 +13,7 @@ DOCUMENT = {
         "1": {
             "name": "BK Díly",
             "pl": {
-                "4": {"name": "J.", "sName": "Mička", "sPoints": 10, "sFieldGoalsAttempted": 5, "sFieldGoalsMade": 4,
+                "4": {"name": "J.", "sName": "Říčný", "sPoints": 10, "sFieldGoalsAttempted": 5, "sFieldGoalsMade": 4,
                       "sMinutes": "10:30", "starter": 1, "shirtNumber": "00"},
                 "5": {"pno": 9, "name": "", "scoreboardName": "Nový ", "sTurnovers": 2, "sFoulsPersonal": 3},
                 "x": {"name": "no number"},
@@ -23,7 +23,7 @@ DOCUMENT = {
                 {"person": "Někdo", "actionType": "3pt", "r": 0, "per": 2, "actionNumber": 99},
             ],
         },
-        "2": {"name": "USK", "pl": {"1": {"scoreboardName": "Solo"}}},
+        "2": {"name": "TJ Dub", "pl": {"1": {"scoreboardName": "Solo"}}},
         "away": {"name": "ignored", "pl": {"1": {"name": "x"}}},
     },
     "pbp": [
@@ -43,23 +43,23 @@ def raw(spark):
 
 def test_players(raw):
     got = {(r.tid, r.pno, r.player) for r in documents.player_dim(raw).collect()}
-    assert got == {(1, 4, "j. micka"), (1, 9, "novy"), (2, 1, "solo")}
+    assert got == {(1, 4, "j. ricny"), (1, 9, "novy"), (2, 1, "solo")}
 
 
 def test_events(raw):
     got = documents.pbp_rows(raw).orderBy("seq").collect()
     assert [(r.seq, r.team, r.player, r.action_type, r.sub_type, r.score_home) for r in got] == [
-        (0, "bk dily", "j. micka", "2pt", None, 2),
-        (1, "usk", "solo", "substitution", "in", None),
+        (0, "bk dily", "j. ricny", "2pt", None, 2),
+        (1, "tj dub", "solo", "substitution", "in", None),
         (2, None, None, "game", None, None),
-        (3, "usk", None, "foul", None, None),
+        (3, "tj dub", None, "foul", None, None),
     ]
 
 
 def test_shots_take_the_last_clock(raw):
     got = documents.shot_rows(raw).orderBy("period").collect()
     assert [(r.team, r.player, r.action, r.result, r.time, r.x) for r in got] == [
-        ("bk dily", "j. micka", "2pt", "made", "08:40", 1.5),
+        ("bk dily", "j. ricny", "2pt", "made", "08:40", 1.5),
         ("bk dily", "nekdo", "3pt", "missed", None, None),
     ]
 
@@ -68,7 +68,7 @@ def test_box(raw, spark):
     pages = spark.createDataFrame([(7, "<p>Tip<br>off</p> Tip off <b>23/9/23</b>")], "match_id long, html string")
     got = documents.box_rows(raw, documents.match_dates(pages)).orderBy("player").collect()
     assert [(r.player, r.date, r.points, r.fouls, r.efficiency, r.starter, r.jersey) for r in got] == [
-        ("j. micka", "2023-09-23", 10, None, 9, 1, "00"),
+        ("j. ricny", "2023-09-23", 10, None, 9, 1, "00"),
         ("novy", "2023-09-23", 0, 3, -2, None, None),
         ("solo", "2023-09-23", 0, None, 0, None, None),
     ]
@@ -86,7 +86,7 @@ def test_links_and_page_ids(spark):
 
 def test_delimited_files(spark, tmp_path):
     header = "match_id;date;team;player;jersey;starter;minutes;points;rebounds;assists;fouls;turnovers;steals;blocks;plus_minus;efficiency\n"
-    for season, line in (("a", "1;2023-09-23;BK ;J. X;00;1;10:30;5;1;0;2;1;0;0;-3;4\n"), ("b/c", "2;unknown;USK;K. Y;7;0;;0;0;0;0;0;0;0;0;0\n")):
+    for season, line in (("a", "1;2023-09-23;BK ;J. X;00;1;10:30;5;1;0;2;1;0;0;-3;4\n"), ("b/c", "2;unknown;DUB;K. Y;7;0;;0;0;0;0;0;0;0;0;0\n")):
         folder = tmp_path / season
         folder.mkdir(parents=True)
         (folder / "box_score.csv").write_text("﻿" + header + line, encoding="utf-8")
@@ -95,7 +95,7 @@ def test_delimited_files(spark, tmp_path):
     got = box.orderBy("match_id").collect()
     assert [(r.match_id, str(r.date), r.team, r.player, r.MIN_FL) for r in got] == [
         (1, "2023-09-23", "bk", "j. x", 10.5),
-        (2, "None", "usk", "k. y", 0.0),
+        (2, "None", "tj dub", "k. y", 0.0),
     ]
 
 
