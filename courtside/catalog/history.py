@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from courtside.catalog.base import BY_PLAYER, HISTORY_SQL, PLAYER_ORDER, Tables, day_text, history, query, r6
 from courtside.functions import abs_over, code_map, month_of
 from courtside.operators import rolling
+from courtside.operators.ordered import Cuts
 
 KEYS = ("player", "match_id")
+FORCED = Cuts(("player",), PLAYER_ORDER, parts=32)
 
 
 def _frame(n: int | str) -> str:
@@ -43,8 +45,8 @@ def rolling_mean(t: Tables) -> DataFrame:
 
 @query("rolling_mean_split", ROLLING_SQL)
 def rolling_mean_split(t: Tables) -> DataFrame:
-    """The same result with players of more than 12 matches cut into parts."""
-    return _rolling(t, max_rows=12)
+    """The same result with the table cut into 32 parts, across the players' histories."""
+    return _rolling(t, cuts=FORCED)
 
 
 @query(
@@ -74,8 +76,8 @@ def expanding(t: Tables) -> DataFrame:
 
 @query("expanding_split", EXPANDING_SQL)
 def expanding_split(t: Tables) -> DataFrame:
-    """The same result with players of more than 12 matches cut into parts."""
-    return _expanding(t, max_rows=12)
+    """The same result with the table cut into 32 parts, across the players' histories."""
+    return _expanding(t, cuts=FORCED)
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from courtside.catalog.base import Tables, query, r6
 from courtside.operators import event_log
-from courtside.operators.ordered import ordered
+from courtside.operators.ordered import Cuts, ordered
 
 ORDER = ("ts", "event_id")
 
@@ -41,11 +41,10 @@ def _events(t: Tables) -> DataFrame:
     )
 
 
-def _log(t: Tables, max_rows: int | None = None) -> DataFrame:
+def _log(t: Tables, cuts: Cuts | None = None) -> DataFrame:
     events = _events(t)
     side = lambda parity: F.when(F.col("user_id") % 2 == parity, F.col("pts")).otherwise(0)
-    options = {} if max_rows is None else {"max_rows": max_rows}
-    work = ordered(events, "day", ORDER, **options)
+    work = ordered(events, "day", ORDER, cuts)
     return work.running({"score_home": side(0), "score_away": side(1)}).done()
 
 
@@ -83,9 +82,10 @@ def presence_mean(t: Tables) -> DataFrame:
 
 @query("presence_mean_split", PRESENCE_SQL)
 def presence_mean_split(t: Tables) -> DataFrame:
-    """The same result with every day of more than 200 events cut into parts."""
-    log = _subs(_log(t, max_rows=200))
-    done = event_log.presence_mean(log, _squad(t), "day", "user_id", ORDER, "score", "change", max_rows=200)
+    """The same result with the log cut into 32 parts, across the days."""
+    cuts = Cuts(("day",), ORDER, parts=32)
+    log = _subs(_log(t, cuts))
+    done = event_log.presence_mean(log, _squad(t), "day", "user_id", ORDER, "score", "change", cuts=cuts)
     return done.withColumn("Synergy_Score", r6("Synergy_Score"))
 
 
