@@ -3,6 +3,7 @@
 from courtside.catalog import (  # noqa: F401  (importing registers the queries)
     boxscore,
     cleaning,
+    features,
     flattening,
     forecasting,
     history,
