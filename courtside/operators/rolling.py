@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions.cleaning import ratio_zero_one
+from courtside.functions.labels import weighted_sum
 from courtside.operators.ordered import MAX_GROUP_ROWS, Cuts, _names, ordered
 from courtside.session import measured
 
@@ -118,8 +119,7 @@ def difference(a: str, b: str) -> Column:
 
 def blend(weights: Mapping[str, float]) -> Column:
     """Weighted baseline of several windows."""
-    terms = [F.col(name) * F.lit(weight) for name, weight in weights.items()]
-    return sum(terms[1:], terms[0])
+    return weighted_sum(weights)
 
 
 def rolling_rate(

@@ -5,15 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from courtside.functions import edge_rule, normalize_name, over_under
-from courtside.operators.rolling import latest_snapshot, recent_only
+from courtside.operators.rolling import latest_snapshot
 from courtside.plans.training import ORDER, PLAYER, TwoStage
 
 
-def active_snapshot(features: DataFrame, days: int = 60) -> DataFrame:
-    """The latest row of every player seen within ``days`` of the newest date."""
-    return latest_snapshot(recent_only(features, PLAYER, "date", days), PLAYER, ORDER)
-
-
 def matchup(
     features: DataFrame,
     models: TwoStage,
