@@ -52,10 +52,22 @@ def check_plan(name, df):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     for operator in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
         assert operator not in plan
-    # A window line ends in its partition keys and its order; without keys only the order is there.
+    # A window line ends in its partition keys and then its order, either of which may be absent.
     windows = re.findall(r"^\W*(?:\(\d+\) )?Window \[.*$", plan, re.M)
     if name != "ffill_global":
-        assert all(re.search(r"\], \[[^\[\]]+\], \[[^\[\]]*\]\s*$", line) for line in windows), windows
+        assert all(has_partition_keys(line) for line in windows), windows
+
+
+def has_partition_keys(line):
+    ending = re.search(r"\](?:, \[([^\[\]]+)\])?, \[([^\[\]]+)\]\s*$", line)
+    return bool(ending) and (ending.group(1) is not None or not re.search(r" (ASC|DESC) ", ending.group(2)))
+
+
+def test_window_lines_are_told_apart():
+    assert has_partition_keys("+- Window [sum(a#1) x(b#2)], [k#3], [d#4 ASC NULLS FIRST]")
+    assert has_partition_keys("+- Window [max(a#1) x()], [k#3]")
+    assert not has_partition_keys("+- Window [sum(a#1) x(b#2)], [d#4 ASC NULLS FIRST]")
+    assert not has_partition_keys("+- Window [max(a#1) x()]")
 
 
 def test_entry(spark):
