@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,6 +28,17 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    return with_package(spark)
+
+
+def with_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver did, as a session started from
+    another folder would not find it. On a cluster the package is installed or sent with the job.
+    """
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
     return spark
 
 
