@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.catalog.base import Tables
-from courtside.llm import bpe, language, quality, secrets, urls
+from courtside.llm import bpe, language, minhash, packing, quality, secrets, topk, urls
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -116,3 +116,31 @@ def urls_query(t: Tables) -> DataFrame:
         F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
     )
     return urls.judge(t.pages, marks)
+
+
+@query("op2_best_fit_packing")
+def packing_query(t: Tables) -> DataFrame:
+    return packing.pack(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_minhash_dedup")
+def minhash_query(t: Tables) -> DataFrame:
+    return minhash.near_duplicates(t.documents, width=3, percent=85)
+
+
+@query(
+    "op10_topk_search",
+    """WITH ints AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([a[1] * a[2] FOR a IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM ints q JOIN ints c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+)
+def topk_query(t: Tables) -> DataFrame:
+    fine = t.embeddings.where(topk.usable("embedding"))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("bigint"))
+    return topk.top_k(fine.select("vec_id", whole.alias("v")), 5, "vec_id", "v", F.col("vec_id") % 50 == 0)
