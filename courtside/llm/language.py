@@ -39,15 +39,16 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str
     The rows are chosen by a hash of the text. Null texts, null languages and texts without a
     letter teach nothing.
     """
+    at = F.pmod(F.hash(text), F.greatest(F.lit(1), F.length(text) - PIECE_CHARS + 1)) + 1
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("order")
+        F.col(lang).cast("string").alias("lang"),
+        F.xxhash64(text).alias("order"),
+        F.col(text).substr(at, F.lit(PIECE_CHARS)).alias("piece"),
     )
-    at = F.pmod(F.hash("text"), F.greatest(F.lit(1), F.length("text") - PIECE_CHARS + 1)) + 1
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
     chosen = rows.withColumn("rank", rank).where(F.col("rank") <= DICTIONARY_ROWS)
     pieces: dict[str, list[str]] = {}
-    found = chosen.select("lang", "order", F.col("text").substr(at, F.lit(PIECE_CHARS)).alias("piece"))
-    for row in sorted(found.limit(MAX_LANGUAGES * DICTIONARY_ROWS + 1).collect()):
+    for row in sorted(chosen.select("lang", "order", "piece").limit(MAX_LANGUAGES * DICTIONARY_ROWS + 1).collect()):
         pieces.setdefault(row.lang, []).append(row.piece)
     if len(pieces) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
