@@ -38,8 +38,7 @@ QUALITY_THRESHOLD = 0.3
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
     """Learned from labelled documents outside the held-out fold."""
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    learn = docs.select("doc_id", "text").join(marks, "doc_id").where(fold("doc_id", 5) != 0)
-    return quality.fit(learn)
+    return quality.fit(docs, marks.where(fold("doc_id", 5) != 0))
 
 
 @query("op3_quality_classifier")

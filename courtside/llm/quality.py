@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.llm.batches import per_text
 from courtside.llm.compression import Sizes
+from courtside.session import store
 
 #: Bounds of the model: dictionary rows and calibration rows per class, and sizes of what is kept.
 DICTIONARY_ROWS = 200
@@ -79,40 +80,37 @@ def _logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2, rou
     return w
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality") -> Model:
-    """Fit on rows with a text and a label of 0 or 1; the labelled rows read are bounded.
+def fit(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
+    """Fit on the texts whose id has a label of 0 or 1 in ``marks`` (one row per id).
 
     At most ``DICTIONARY_ROWS`` rows of each class give a piece to the dictionaries, and at most
-    ``CALIBRATION_ROWS`` others of each class are compressed whole for the curve. Which rows these
-    are depends on a hash of the text only. Null texts and other labels teach nothing; with
-    one class missing every text scores the share of the other.
+    ``CALIBRATION_ROWS`` others of each class are compressed whole for the curve. They are drawn from
+    ``marks`` by a hash, so their texts are met by a broadcast of that bounded list and none is
+    shuffled. Null texts and other labels teach nothing; with one class missing every text
+    scores the share of the other.
     """
-    rows = labelled.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(
-        F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(text).alias("order")
+    known = marks.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1)).select(
+        F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"), F.xxhash64(id_col).alias("order")
     )
-    for_words = (F.col("order") % 2) == 0
+    known = known.withColumn("for_words", (F.col("order") % 2) == 0)
+    rank = F.row_number().over(Window.partitionBy("label", "for_words").orderBy("order", "id"))
+    ranked = known.withColumn("rank", rank).where(F.col("rank") <= CALIBRATION_ROWS)
+    drawn = F.broadcast(store(ranked.where(~F.col("for_words") | (F.col("rank") <= DICTIONARY_ROWS)).drop("rank")))
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(drawn, "id")
     at = F.pmod(F.hash("text"), F.greatest(F.lit(1), F.length("text") - PIECE_CHARS + 1)) + 1
     piece: Column = F.col("text").substr(at, F.lit(PIECE_CHARS))
-    by_class = Window.partitionBy("label").orderBy("order")
-    chosen = (
-        rows.where(for_words).withColumn("rank", F.row_number().over(by_class)).where(F.col("rank") <= DICTIONARY_ROWS)
-    )
     pieces = {0: [], 1: []}
-    for row in sorted(chosen.select("label", "order", piece.alias("piece")).collect()):
+    for row in sorted(rows.where("for_words").select("label", "order", piece.alias("piece")).collect()):
         pieces[row.label].append(row.piece.encode("utf-8", "surrogatepass"))
     words = {k: b"\n".join(v)[:DICTIONARY_BYTES] for k, v in pieces.items()}
     shapes = {k: b"\n".join(map(shape, v))[:DICTIONARY_BYTES] for k, v in pieces.items()}
     blank = Model((words[1], words[0], shapes[1], shapes[0]), (0.0,) * 5, (1.0,) * 5, (0.0,) * 6)
 
-    rest = (
-        rows.where(~for_words).withColumn("rank", F.row_number().over(by_class)).where(F.col("rank") <= CALIBRATION_ROWS)
-    )
-
     def make() -> Callable[[list[str]], tuple]:
         of = blank.features()
         return lambda batch: ([of(t) for t in batch],)
 
-    points = per_text(rest, ["label", "text"], make, "features array<double>").collect()
+    points = per_text(rows.where(~F.col("for_words")), ["label", "text"], make, "features array<double>").collect()
     labels = np.array([p.label for p in points], dtype=float)
     if not pieces[0] or not pieces[1] or labels.size == 0 or labels.min() == labels.max():
         seen = np.concatenate([labels, [float(k) for k, v in pieces.items() for _ in v]])
