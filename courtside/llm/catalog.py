@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.catalog.base import Tables
-from courtside.llm import bpe, language, minhash, packing, quality, secrets, topk, urls
+from courtside.llm import bpe, language, minhash, packing, quality, secrets, suffixes, topk, urls
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -143,3 +143,15 @@ def topk_query(t: Tables) -> DataFrame:
     fine = t.embeddings.where(topk.usable("embedding"))
     whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("bigint"))
     return topk.top_k(fine.select("vec_id", whole.alias("v")), 5, "vec_id", "v", F.col("vec_id") % 50 == 0)
+
+
+@query("op1_suffix_dedup")
+def suffix_query(t: Tables) -> DataFrame:
+    cut = suffixes.remove_repeats(t.documents, ["doc_id"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
