@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.catalog.base import Tables
-from courtside.llm import bpe, language, minhash, packing, quality, secrets, suffixes, topk, urls
+from courtside.llm import bpe, covertree, language, minhash, packing, quality, secrets, suffixes, topk, urls
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -155,3 +155,8 @@ def suffix_query(t: Tables) -> DataFrame:
         (F.size("spans") / 2).cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op7_embedding_dedup")
+def embedding_query(t: Tables) -> DataFrame:
+    return covertree.near_vectors(t.embeddings)
