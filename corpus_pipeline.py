@@ -1,8 +1,80 @@
-"""Corpus pipeline: stages are added as their operators are done."""
+"""Corpus pipeline: documents in, packed training sequences out.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before it kept. Between
+stages the table is written and read again, so a lost executor costs the work of one stage at most.
+All stages but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from courtside.llm import catalog, minhash, packing, quality, secrets, suffixes
+from courtside.session import store, tune
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model = catalog.quality_model(docs, tune(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    names = [f"d{i}" for i in range(len(docs.columns))]
+    held = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)])
+    scored = quality.score(held, model, names, names[docs.columns.index("text")])
+    good = scored.where(F.col("score") >= catalog.QUALITY_THRESHOLD)
+    return good.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, four fifths of them shared.
+
+    Rows that share an id are versions of one document, of which the one with the smallest text stays.
+    """
+    tune(spark)
+    found = minhash.near_duplicates(docs, width=5, percent=80).where("kept AND doc_id IS NOT NULL")
+    ids = store(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
+    once = docs.join(ids.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    again = docs.join(ids.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row")).select("doc_id", "row.*")
+    return once.unionByName(least).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that occur in more than one place; ``n_chars`` follows."""
+    tune(spark)
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    cut = suffixes.remove_repeats(docs, others, characters=True)
+    text = F.col("kept").cast("string")
+    return cut.withColumns({"text": text, "n_chars": F.length(text).cast("bigint")}).select(*docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every secret that the scan reports masked; ``n_chars`` follows."""
+    tune(spark)
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their place in a sequence of at most 4096 tokens."""
+    tune(spark)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("minhash near-dedup", drop_near_copies),
+    ("suffix-array dedup", drop_repeats),
+    ("secret scans", mask_secrets),
+    ("best-fit packing", pack_sequences),
+]
+
+#: The classifier, the signatures and the packing cannot be said in SQL; tests/llm checks each stage.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages applied to the documents of a folder."""
+    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.llm.batches import per_text
@@ -36,6 +37,8 @@ ROLES = {"assign": "secret", "hex": "secret", "value": "secret", "access": "id",
 SCOPE = 2_000
 REACH = 300
 MIN_ENTROPY = 3.5
+#: What a redacted span is replaced by.
+MASK = "<redacted>"
 
 
 def _random_looking(value: str) -> bool:
@@ -125,13 +128,41 @@ def scan(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
     schema = "n_assign long, n_access long, n_hex long, base_sha256 string, flat array<int>, has_weak boolean"
     rows = store(per_text(renamed, [*keep, "t"], _scan, schema).withColumn("row", F.monotonically_increasing_id()))
     names = F.array(*[F.lit(k) for k in KINDS])
-    order = F.sequence(F.lit(0), F.size("flat") - 1, F.lit(3))
-    own = F.transform(
-        F.when(F.size("flat") > 0, order).otherwise(F.array().cast("array<int>")),
+    shown = F.transform(
+        F.when(F.size("flat") > 0, F.sequence(F.lit(0), F.size("flat") - 1, F.lit(3))).otherwise(F.array().cast("array<int>")),
         lambda i: F.concat_ws(":", F.get(names, F.get("flat", i + 1)), F.get("flat", i), F.get("flat", i + 2)),
     )
-    shown = F.when(F.col("has_weak"), F.coalesce(F.transform("linked", lambda x: x.shown), F.array().cast("array<string>"))).otherwise(own)
-    out = rows.join(_linked(rows), "row", "left").withColumn("spans", F.array_join(shown, ","))
+    plain = rows.where(~F.col("has_weak")).withColumn("shown", shown)
+    joined_rows = rows.where("has_weak").join(_linked(rows), "row", "left")
+    linked = joined_rows.withColumn("shown", F.coalesce("linked.shown", F.array().cast("array<string>"))).drop("linked")
+    out = plain.unionByName(linked).withColumn("spans", F.array_join("shown", ","))
     return out.select(
         *[F.col(k).alias(c) for c, k in zip(columns, keep)], "n_assign", "n_access", "n_hex", "base_sha256", "spans"
     )
+
+
+def masked(text: str, spans: str, mask: str = MASK) -> str:
+    """The text with every span, or run of overlapping spans, replaced by ``mask``."""
+    out, at = [], 0
+    for start, stop in sorted(tuple(map(int, s.split(":")[1:])) for s in spans.split(",")):
+        if start >= at:
+            out += [text[at:start], mask]
+        at = max(at, stop)
+    return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows with all reported spans of ``text`` masked; the other columns are left as they are.
+
+    A null text stays null. Texts without a span are not touched.
+    """
+    columns = docs.columns
+
+    @F.pandas_udf("string")
+    def mask(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([masked(t, s) for t, s in zip(texts, spans)], dtype=object)
+
+    found = scan(docs, columns, text)
+    hit = found.where("spans <> ''")
+    clean = found.where("spans = ''").select(*columns)
+    return clean.unionByName(hit.withColumn(text, mask(text, "spans")).select(*columns))

@@ -352,13 +352,19 @@ def repeated(runs: list[Run], span: int, windows: int) -> np.ndarray:
 
 
 def remove_repeats(
-    docs: DataFrame, columns: Sequence[str], text: str = "text", span: int = SPAN, gram: int = GRAM, hot: int = HOT
+    docs: DataFrame,
+    columns: Sequence[str],
+    text: str = "text",
+    span: int = SPAN,
+    gram: int = GRAM,
+    hot: int = HOT,
+    characters: bool = False,
 ) -> DataFrame:
     """The named columns of every row with ``n_bytes``, ``spans`` and ``kept``.
 
     ``spans`` are the removed byte intervals as start, end, start, end, ...; ``kept`` are the other bytes
     in order. All copies of a repeated string go, the first one included; strings are judged on the
-    input. A null text is empty, and a text shorter than ``span`` is left whole. Repeated rows repeat
+    input. With ``characters`` a span is narrowed to whole characters, so that ``kept`` stays UTF-8. A null text is empty, and a text shorter than ``span`` is left whole. Repeated rows repeat
     each other's text. Columns not named are not carried.
     """
     windows = span - gram + 1
@@ -442,6 +448,9 @@ def remove_repeats(
                 if own_gone.any():
                     steps = np.diff(np.concatenate(([0], own_gone.astype(np.int8), [0])))
                     edges = np.flatnonzero(steps)
+                    if characters:
+                        edges = _whole_characters(data[at : at + n], edges)
+                        own_gone = np.cumsum(np.bincount(edges, np.resize([1, -1], len(edges)), n + 1)[:n]) > 0
                     spans.append(edges.tolist())
                     kept.append(data[at : at + n][~own_gone].tobytes())
                 else:
@@ -460,6 +469,16 @@ def remove_repeats(
     return done.withColumnsRenamed(dict(zip(keep, columns)))
 
 
+def _whole_characters(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Spans without the parts of characters at their ends; a span within one character goes."""
+    opens = np.flatnonzero((data & 0xC0) != 0x80)
+    borders = np.append(opens, len(data))
+    start = borders[np.searchsorted(borders, edges[0::2], "left")]
+    stop = borders[np.searchsorted(borders, edges[1::2], "right") - 1]
+    some = start < stop
+    return np.column_stack((start[some], stop[some])).ravel()
+
+
 def _mark(covered: np.ndarray, units: Units, names: list[bytes], bits: list[bytes], windows: int, span: int) -> None:
     """Add the intervals of the repeated windows of a block to a difference array."""
     order = np.argsort(units.unit, kind="stable")
