@@ -38,7 +38,7 @@ from courtside.operators.boxstats import side_totals
 from courtside.operators.ordered import find_cuts
 from courtside.operators.rolling import prior_mean
 from courtside.operators.shots import ZONE_POINTS, rate_by, zone_stats
-from courtside.session import measured, store
+from courtside.session import store
 
 # --- shots: quantity and tax as coordinates -----------------------------------------------
 
@@ -195,8 +195,8 @@ def _classes(games: DataFrame) -> DataFrame:
 
 def _classed(t: Tables) -> DataFrame:
     """The box score with opponent, class and size, stored for the aggregates over it."""
-    games = stored_box(t)
-    return store(_games(games).join(measured(_classes(games)), "player"))
+    games = box(t)
+    return store(_games(games).join(_classes(games), "player"))
 
 
 @query("opponent_map", f"{_GAMES} SELECT match_id, team, player, opponent FROM games")
@@ -341,26 +341,26 @@ def is_home(t: Tables) -> DataFrame:
 @query(
     "vs_opponent_hist",
     f"""WITH {box_sql("l_suppkey")}, {OPPONENT_SQL}, {DATED_SQL}
-      SELECT match_id, team, player, opponent, round(avg(points) OVER (PARTITION BY player, opponent ORDER BY date, match_id
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS vs_mean FROM dated WHERE opponent IS NOT NULL""",
+      SELECT match_id, team, player, opponent, CASE WHEN opponent IS NOT NULL THEN round(avg(points) OVER (PARTITION BY player,
+        opponent ORDER BY date, match_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) END AS vs_mean FROM dated""",
 )
 def vs_opponent_hist(t: Tables) -> DataFrame:
-    games = matchups.opponent_map(dated_box(t, "l_suppkey"), "match_id", "team").where("opponent is not null")
+    games = matchups.opponent_map(dated_box(t, "l_suppkey"), "match_id", "team")
     keys, order = ("player", "opponent"), ("date", "match_id")
     cuts = find_cuts(games, keys, order, coarse=(t.lineitem, ("l_suppkey",)))
     done = prior_mean(games, keys, order, "points", "vs_mean", cuts)
-    return done.select(*KEYS, "opponent", r6("vs_mean").alias("vs_mean"))
+    return done.select(*KEYS, "opponent", F.when(F.col("opponent").isNotNull(), r6("vs_mean")).alias("vs_mean"))
 
 
 @query(
     "allowed_asof",
-    f"""{_CLASSED}, d AS (SELECT cg.*, CAST(o_orderdate AS DATE) AS date FROM cg JOIN orders ON match_id = o_orderkey
-          WHERE opponent IS NOT NULL)
-      SELECT match_id, team, player, strftime(date, '%Y-%m-%d') AS date, round(avg(points) OVER (PARTITION BY opponent, cls
-        ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) AS allowed FROM d""",
+    f"""{_CLASSED}, d AS (SELECT cg.*, CAST(o_orderdate AS DATE) AS date FROM cg JOIN orders ON match_id = o_orderkey)
+      SELECT match_id, team, player, strftime(date, '%Y-%m-%d') AS date, CASE WHEN opponent IS NOT NULL THEN round(avg(points)
+        OVER (PARTITION BY opponent, cls ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) END
+        AS allowed FROM d""",
 )
 def allowed_asof(t: Tables) -> DataFrame:
     dates = t.orders.select(F.col("o_orderkey").alias("match_id"), F.col("o_orderdate").cast("date").alias("date"))
-    games = _classed(t).where("opponent is not null").join(dates, "match_id")
+    games = _classed(t).join(dates, "match_id")
     done = matchups.asof_aggregate(games, ["opponent", "cls"], "date", {"allowed": "points"})
     return done.select(*KEYS, day_text("date").alias("date"), r6("allowed").alias("allowed"))

@@ -188,8 +188,7 @@ def ffill_bfill(t: Tables) -> DataFrame:
 
 @query("ffill_global", _filled_sql(""))
 def ffill_global(t: Tables) -> DataFrame:
-    # The whole table is one group, cut into parts even at this size.
-    return fill_along(_gappy(t), "date", "o_orderkey", max_rows=4096).withColumn("date", day_text("date"))
+    return fill_along(_gappy(t), "date", "o_orderkey").withColumn("date", day_text("date"))
 
 
 @query(

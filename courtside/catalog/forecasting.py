@@ -8,7 +8,8 @@ from courtside.catalog.base import BY_PLAYER, HISTORY_SQL, PLAYER_ORDER, Tables,
 from courtside.functions import combine, edge_rule, over_under, rate_target, sample_weight, season_weight
 from courtside.functions.scoring import ERF_A, ERF_P
 from courtside.operators import evaluation
-from courtside.operators.rolling import history_features, latest_snapshot, recent_only
+from courtside.operators.rolling import history_features, recent_only
+from courtside.plans.forecast import matchup
 from courtside.plans.training import Boosting, fit_gbt
 
 KEYS = ("player", "match_id")
@@ -163,30 +164,34 @@ def edge_rules(t: Tables) -> DataFrame:
     return recent_only(bets, "player", "date").where("bet is not null").select(*KEYS, "bet")
 
 
+class _Form:
+    """A stand-in for trained models: the form, moved by the opponent."""
+
+    stats = {"sigma": 10_000.0}
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("points_hat", F.col("L5_points") * 0.75 + F.length("opponent") * 1000.0)
+
+
 @query(
     "matchup_list",
-    f"""WITH {_SCORED_SQL}, latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player ORDER BY date DESC,
-          match_id DESC) AS rn FROM scored) WHERE rn = 1 AND CAST(date AS DATE) >= (SELECT CAST(max(date) AS DATE) - 60 FROM scored))
-        SELECT player, c_mktsegment AS team, strftime(date, '%Y-%m-%d') AS last_played, round(yhat, 6) AS form,
-          round(y - yhat, 6) + 0.0 AS edge FROM latest JOIN customer ON player = c_custkey
-        WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') ORDER BY edge DESC, player""",
+    f"""WITH {HISTORY_SQL}, ranked AS (SELECT player, date, points, row_number() OVER (PARTITION BY player ORDER BY date DESC,
+          match_id DESC) AS rn FROM hist),
+        forms AS (SELECT player, avg(points) AS form, max(date) AS last FROM ranked WHERE rn <= 5 GROUP BY player),
+        active AS (SELECT *, c_mktsegment AS team, CASE WHEN c_mktsegment = 'BUILDING' THEN 'machinery' ELSE 'building' END AS opponent
+          FROM forms JOIN customer ON player = c_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+          AND CAST(last AS DATE) >= (SELECT CAST(max(date) AS DATE) - 60 FROM hist))
+        SELECT player, team, opponent, strftime(last, '%Y-%m-%d') AS last_played, round(form, 6) AS form,
+          round(form * 0.75 + length(opponent) * 1000.0 - form, 6) + 0.0 AS edge FROM active""",
 )
 def matchup_list(t: Tables) -> DataFrame:
-    """The active players of two sides, those furthest above their form first."""
-    sides = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
-    teams = sides.select(F.col("c_custkey").alias("player"), F.col("c_mktsegment").alias("team"))
-    scored = _scored(t)
-    since = scored.agg(F.date_sub(F.max("date"), 60).alias("since")).scalar()
-    # A player's latest row is recent exactly if any row is, so old rows need not be aggregated.
-    latest = latest_snapshot(scored.where(F.col("date") >= since), "player", PLAYER_ORDER)
-    listed = latest.join(teams, "player").select(
-        "player",
-        "team",
-        day_text("date").alias("last_played"),
-        r6("yhat").alias("form"),
-        (r6(F.col("y") - F.col("yhat")) + 0.0).alias("edge"),
-    )
-    return listed.orderBy(F.desc("edge"), "player")
+    """The active players of two sides before their next match, the largest expected gain first."""
+    teams = t.customer.select(F.col("c_custkey").alias("player"), F.col("c_mktsegment").alias("team"))
+    games = history(t).join(teams, "player")
+    last_five = lambda df: history_features(df, "player", PLAYER_ORDER, (), {"L5_points": ("points", 5, 1)})
+    listed = matchup(games, _Form(), "BUILDING", "MACHINERY", prepare=last_five)
+    gap = (r6("edge") + 0.0).alias("edge")
+    return listed.select("player", "team", "opponent", day_text("last_played").alias("last_played"), r6("form").alias("form"), gap)
 
 
 _MODEL_MEANS = {

@@ -61,6 +61,13 @@ def to_num(value: ColumnLike, default: float = 0.0) -> Column:
     return F.coalesce(F.nanvl(number, F.lit(None).cast("double")), F.lit(float(default)))
 
 
+def whole_number(text: ColumnLike, kind: str = "bigint") -> Column:
+    """Text to a whole number; ``2`` and ``2.0`` are the same, anything else is null."""
+    text = as_column(text)
+    number = text.try_cast("double")
+    return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+
+
 def ratio_zero_one(num: ColumnLike, den: ColumnLike) -> Column:
     """``num / den`` where a denominator of exactly zero counts as one."""
     den = as_column(den)

@@ -7,28 +7,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.operators.ordered import Cuts, _names, ordered
-from courtside.session import measured
 
 
 def opponent_map(df: DataFrame, grp: str, side: str, out: str = "opponent") -> DataFrame:
     """Add the other side of the group; null if there is none.
 
-    Two sides are paired by one aggregation. A group with more sides yields a row per other
-    side, from a join restricted to such groups.
+    One aggregation gathers the distinct sides of each group (never more than a match has); a row
+    is repeated for every side other than its own.
     """
-    sides = df.select(grp, side).dropna().distinct()
-    ends = sides.groupBy(grp).agg(
-        F.min(side).alias("_lo"), F.max(side).alias("_hi"), F.count(F.lit(1)).alias("_n")
-    )
-    pair = F.array(
-        F.struct(F.col("_lo").alias(side), F.col("_hi").alias(out)),
-        F.struct(F.col("_hi").alias(side), F.col("_lo").alias(out)),
-    )
-    two = ends.where("_n = 2").select(grp, F.inline(pair))
-    crowded = sides.join(ends.where("_n > 2").select(grp), grp, "left_semi")
-    others = crowded.withColumnRenamed(side, out)
-    more = crowded.join(others, grp).where(F.col(side) != F.col(out)).select(grp, side, out)
-    return df.join(two.unionByName(more), [grp, side], "left")
+    sides = df.where(F.col(grp).isNotNull() & F.col(side).isNotNull()).groupBy(grp).agg(F.collect_set(side).alias("_sides"))
+    others = F.filter("_sides", lambda s: s != F.col(side))
+    return df.join(sides, grp, "left").withColumn(out, F.explode_outer(others)).drop("_sides")
 
 
 def entity_profile(df: DataFrame, ent: str | Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -52,7 +41,7 @@ def opponent_totals(
 def mean_by_class(df: DataFrame, opp: str, cls: str, means: Mapping[str, str]) -> DataFrame:
     """Attach ``{out: value}`` means per (opponent, class): points allowed, size faced, minutes."""
     allowed = df.groupBy(opp, cls).agg(*[F.avg(value).alias(out) for out, value in means.items()])
-    return df.join(measured(allowed), [opp, cls], "left")
+    return df.join(allowed, [opp, cls], "left")
 
 
 def suppressor(
@@ -63,7 +52,7 @@ def suppressor(
     ``base`` is a cheaper table with the same values to average, where ``df`` is costly.
     """
     own = (df if base is None else base).groupBy(ent).agg(F.avg(value).alias("_own"))
-    return df.join(measured(own), ent, "left").withColumn(out, F.col(allowed) - F.col("_own")).drop("_own")
+    return df.join(own, ent, "left").withColumn(out, F.col(allowed) - F.col("_own")).drop("_own")
 
 
 def asof_aggregate(
@@ -72,15 +61,17 @@ def asof_aggregate(
     date: str,
     aggs: Mapping[str, str],
 ) -> DataFrame:
-    """Attach ``{out: value}`` means over rows of strictly earlier dates with the same keys.
+    """Attach ``{out: value}`` means over rows of strictly earlier days with the same keys.
 
-    Rows are first summed per key and date, so a key's running work is over its dates.
+    ``date`` may be a timestamp: what counts is its day. Rows are first summed per key and day, so a
+    key's running work is over its days. A row with a missing key gets no mean.
     """
     keys = list(_names(keys))
     sums = [F.sum(v).alias(f"_s_{o}") for o, v in aggs.items()] + [F.count(v).alias(f"_n_{o}") for o, v in aggs.items()]
-    daily = df.groupBy(*keys, date).agg(*sums)
+    df = df.withColumn("_day", F.col(date).cast("date"))
+    daily = df.groupBy(*keys, "_day").agg(*sums)
     totals = {f"_ps_{o}": f"_s_{o}" for o in aggs} | {f"_pn_{o}": f"_n_{o}" for o in aggs}
-    # One row per key and calendar date: no group can be large, so nothing is measured.
-    past = ordered(daily, keys, date, Cuts(tuple(keys), (date,))).running(totals, include_current=False).done()
+    # One row per key and calendar day: no group can be large, so nothing is measured.
+    past = ordered(daily, keys, "_day", Cuts(tuple(keys), ("_day",))).running(totals, include_current=False).done()
     means = {o: F.col(f"_ps_{o}") / F.nullif(F.col(f"_pn_{o}"), F.lit(0)) for o in aggs}
-    return df.join(past.withColumns(means).select(*keys, date, *aggs), [*keys, date], "left")
+    return df.join(past.withColumns(means).select(*keys, "_day", *aggs), [*keys, "_day"], "left").drop("_day")

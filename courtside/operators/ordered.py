@@ -11,9 +11,10 @@ own, and what crosses a part border is carried over exactly:
 * a running total or fill gets one summary row per part, combined over the parts of a group.
 
 At most one group crosses each border, so whatever is carried over is bounded by the number of
-parts. The order columns together must be unique within a group. Where the borders fall only
-balances the work: every row takes part in the result. Between chained steps the table is stored
-again, since each step reads it twice.
+parts; whether it is broadcast or shuffled is left to its size. Work without keys is always cut. The
+order columns together must be unique within a group. Where the borders fall only balances the
+work: every row takes part in the result, and running totals are exact, so that cutting changes no
+bit of them. Between chained steps the table is stored again, since each step reads it twice.
 """
 
 from __future__ import annotations
@@ -21,14 +22,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from courtside.session import store
 
 #: Largest group a single window task is given.
 MAX_GROUP_ROWS = 4_000_000
-#: Most parts a table is cut into; beyond it the parts grow, and carried rows stay broadcastable.
-MAX_PARTS = 20_000
+#: Type that fractions are summed in: exact, so the result does not depend on the order of adding.
+EXACT, EXACT_SUM = "decimal(27,12)", "decimal(37,12)"
 
 _PART, _GHOST, _RN, _UNTIL = "_part", "_ghost", "_rn", "_until"
 
@@ -63,17 +64,18 @@ def find_cuts(
     """Measure the groups of ``df`` and decide whether it has to be cut.
 
     Runs one count per group (pre-aggregated before its shuffle, only the key columns are read).
+    Without keys the table is one group, which is cut whatever its size.
     Pass the result on to several operators over the same keys and order to measure once. Where
     ``df`` is costly to compute, ``coarse`` names a cheaper table and keys whose groups are at
     least as large: if those are small enough, ``df`` itself is not touched.
     """
     keys, order = _names(keys), _names(order)
-    if coarse is not None and _largest(*coarse)[0] <= max_rows:
+    if keys and coarse is not None and _largest(*coarse)[0] <= max_rows:
         return Cuts(keys, order)
     largest, total = _largest(df, keys)
-    if largest <= max_rows:
+    if keys and largest <= max_rows:
         return Cuts(keys, order)
-    return Cuts(keys, order, min(MAX_PARTS, max(2, -(-2 * total // max_rows))))
+    return Cuts(keys, order, max(2, -(-2 * total // max_rows)))
 
 
 def _matching(keys: Sequence[str]) -> list[Column]:
@@ -82,7 +84,7 @@ def _matching(keys: Sequence[str]) -> list[Column]:
 
 
 def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return F.broadcast(df.withColumnsRenamed({k: f"_r_{k}" for k in keys}))
+    return df.withColumnsRenamed({k: f"_r_{k}" for k in keys})
 
 
 @dataclass(frozen=True)
@@ -140,22 +142,33 @@ class Ordered:
         return self.df.join(_renamed(self.crossing, self.keys), _matching(self.keys), "left_semi")
 
     def running(self, totals: Mapping[str, Column | str], include_current: bool = True) -> "Ordered":
-        """Add running sums from the start of the group up to (or just before) each row."""
+        """Add running sums from the start of the group up to (or just before) each row.
+
+        Fractions are taken to twelve decimal places and summed exactly; one that is not a number or
+        too large for that counts as missing.
+        """
         self = self._stored()
         frame = self.window.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
-        summed = {out: F.sum(value).over(frame) for out, value in totals.items()}
+        columns = {out: F.col(value) if isinstance(value, str) else value for out, value in totals.items()}
+        types = self.df.select(*[c.alias(out) for out, c in columns.items()]).schema
+        inexact = [f.name for f in types if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+        columns |= {out: columns[out].try_cast(EXACT) for out in inexact}
+        as_double = {out: F.col(out).cast("double") for out in inexact}
+        summed = {out: F.sum(value).over(frame) for out, value in columns.items()}
         inner = self.df.withColumns(summed)
         if not self.split:
-            return replace(self, df=inner)
-        per_part = self._per_part([F.sum(value).alias(f"_c_{out}") for out, value in totals.items()])
+            return replace(self, df=inner.withColumns(as_double) if inexact else inner)
+        per_part = self._per_part([F.sum(value).alias(f"_c_{out}") for out, value in columns.items()])
         before = Window.partitionBy(*self.keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
         carry = per_part.withColumns({f"_c_{o}": F.sum(f"_c_{o}").over(before) for o in totals})
         joined = self._attach(inner, carry)
+        # Two sums of this type add up without losing a place.
+        exact = lambda name, out: F.col(name).cast(EXACT_SUM) if out in inexact else F.col(name)
         merged = {
-            out: F.coalesce(F.col(f"_c_{out}") + F.col(out), F.col(f"_c_{out}"), F.col(out)) for out in totals
+            out: F.coalesce(exact(f"_c_{out}", out) + exact(out, out), exact(f"_c_{out}", out), exact(out, out)) for out in totals
         }
         done = joined.withColumns(merged).drop(*[f"_c_{o}" for o in totals])
-        return replace(self, df=done, stored=False)
+        return replace(self, df=done.withColumns(as_double) if inexact else done, stored=False)
 
     def fill(self, columns: Mapping[str, str], backward: bool = False) -> "Ordered":
         """Add ``{out: column}`` filled with the last value present so far in the group.

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from courtside.functions.cleaning import ratio_zero_one
 from courtside.functions.labels import weighted_sum
-from courtside.operators.ordered import MAX_GROUP_ROWS, Cuts, _names, ordered
-from courtside.session import measured
+from courtside.operators.ordered import EXACT, MAX_GROUP_ROWS, Cuts, _names, ordered
 
 
 def lag_features(
@@ -142,9 +141,13 @@ def rolling_rate(
 
 
 def global_rate(df: DataFrame, num: str, den: str) -> Column:
-    """Total ``num`` over total ``den`` (at least one) as a scalar subquery."""
-    total = F.sum(den)
-    rate = F.sum(num) / F.when(total < 1, F.lit(1)).otherwise(total)
+    """Total ``num`` over total ``den`` (at least one) as a scalar subquery; fractions are summed exactly."""
+    exact = {
+        c: F.sum(F.col(c).try_cast(EXACT)).cast("double") if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.sum(c)
+        for c in (num, den)
+    }
+    total = exact[den]
+    rate = exact[num] / F.when(total < 1, F.lit(1)).otherwise(total)
     return df.agg(rate.alias("rate")).scalar()
 
 
@@ -215,12 +218,13 @@ def recent_only(
         since = F.date_sub(asof, days)
     # An entity is recent exactly if one of its rows is, so the filter reaches the scan.
     seen = df.where(F.col(date) >= since).select(ent).distinct()
-    return df.join(measured(seen), ent, "left_semi")
+    return df.join(seen, ent, "left_semi")
 
 
 def latest_snapshot(df: DataFrame, ent: str | Sequence[str], ord: str | Sequence[str]) -> DataFrame:
-    """The last row of every entity, by aggregation rather than by sorting its history."""
-    ent = list(_names(ent))
-    rest = [c for c in df.columns if c not in ent]
-    last = F.max_by(F.struct(*rest), F.struct(*_names(ord))).alias("_last")
-    return df.groupBy(*ent).agg(last).select(*ent, "_last.*").select(*df.columns)
+    """The last row of every entity.
+
+    A rank of one lets each task drop all but its last row per entity before the shuffle.
+    """
+    latest = Window.partitionBy(*_names(ent)).orderBy(*[F.desc(c) for c in _names(ord)])
+    return df.withColumn("_rn", F.row_number().over(latest)).where("_rn = 1").drop("_rn")

@@ -48,7 +48,7 @@ def fill_along(
     """Fill gaps with the previous value in row order, leading gaps with the first value.
 
     Rows of a group without any value are dropped. Without ``keys`` the whole table is one
-    group: it is then always worked on in parts once it is larger than ``max_rows``.
+    group, which is always worked on in parts.
     """
     columns = _names(columns)
     options = {} if max_rows is None else {"max_rows": max_rows}

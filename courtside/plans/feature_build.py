@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from courtside.functions import (
     classify,
+    equals_flag,
     min_distance,
+    normalize_name,
     quality_flag,
     ratio_zero_one,
     season_weight,
@@ -18,12 +20,16 @@ from courtside.functions import (
 )
 from courtside.functions.labels import GRAVITY_WEIGHTS, SIZE_WEIGHTS, position_rules
 from courtside.operators import event_log, matchups
+from courtside.operators.boxstats import side_totals
 from courtside.operators.ordered import MAX_GROUP_ROWS, find_cuts
+from courtside.operators.rolling import days_since_prev
 from courtside.operators.shots import rate_by
 from courtside.operators.tables import fill_numeric
-from courtside.session import measured, store
+from courtside.session import store
 
 KEYS = ["match_id", "player"]
+#: Fixed value: the periods of regular time.
+PERIODS = (1, 2, 3, 4)
 PROFILE = ["rebounds", "blocks", "assists", "points"]
 #: Fixed value: shot quality assumed when there are no shots at all.
 UNKNOWN_SHOT_QUALITY = 0.5
@@ -52,8 +58,11 @@ def lineup_features(box: DataFrame, pbp: DataFrame | None, max_rows: int = MAX_G
     return joined.withColumn("Gravity", weighted_sum(GRAVITY_WEIGHTS))
 
 
-def event_counts(pbp: DataFrame, periods: tuple[int, ...] = (1, 2, 3, 4)) -> DataFrame:
-    """Fouls drawn, scoring activity per period, clutch and garbage-time events in one pass."""
+def event_counts(pbp: DataFrame, periods: tuple[int, ...] = PERIODS) -> DataFrame:
+    """Fouls drawn, scoring activity per period, clutch and garbage-time events in one pass.
+
+    Scoring after the last of ``periods`` is counted as overtime.
+    """
     margin = F.col("score_home") - F.col("score_away")
     scoring = F.col("action_type").rlike(event_log.SCORING_PATTERN) & (F.col("success") == 1)
     counts = {
@@ -62,10 +71,23 @@ def event_counts(pbp: DataFrame, periods: tuple[int, ...] = (1, 2, 3, 4)) -> Dat
         "GT_Activity_Index": event_log.is_garbage("period", margin),
     }
     counts |= {f"Q{p}_Activity": scoring & (F.col("period") == p) for p in periods}
+    counts["OT_Activity"] = scoring & (F.col("period") > max(periods))
     return event_log.conditional_count(pbp.where("player is not null"), KEYS, counts)
 
 
-def style_features(df: DataFrame, pbp: DataFrame | None, shots: DataFrame | None) -> DataFrame:
+def context_features(df: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Points of the side, days since the player's last match and, with the home side known, whether at home."""
+    df = side_totals(df, "match_id", "team", {"points": "PTS"})
+    if "Home_Team_Name" in df.columns:
+        df = df.withColumn("Is_Home", equals_flag(normalize_name("team"), normalize_name("Home_Team_Name")))
+    if "date" in df.columns:
+        df = days_since_prev(df, "player", ("date", "match_id"), "date", max_rows=max_rows)
+    return df
+
+
+def style_features(
+    df: DataFrame, pbp: DataFrame | None, shots: DataFrame | None, periods: tuple[int, ...] = PERIODS
+) -> DataFrame:
     """Pace, scoring rate, event counts and shot quality."""
     actions = F.col("points") + F.col("rebounds") + F.col("turnovers")
     styled = df.withColumns(
@@ -74,7 +96,7 @@ def style_features(df: DataFrame, pbp: DataFrame | None, shots: DataFrame | None
     if pbp is None:
         styled = styled.withColumn("Fouls_Drawn", F.lit(0).cast("bigint"))
     else:
-        styled = styled.join(event_counts(pbp), KEYS, "left").fillna(0, ["Fouls_Drawn"])
+        styled = styled.join(event_counts(pbp, periods), KEYS, "left").fillna(0, ["Fouls_Drawn"])
     if shots is None:
         return styled.withColumn("Shot_Quality_Avg", F.lit(UNKNOWN_SHOT_QUALITY))
     flagged = shots.withColumn("_q", quality_flag(min_distance("x", "y"), "y"))
@@ -90,13 +112,21 @@ _SIDE_AGGREGATES = {
 }
 
 
+#: What ``matchup_features_asof`` reads and what it adds.
+ASOF_INPUTS = ("match_id", "team", "opponent", "date", *PROFILE, *_SIDE_AGGREGATES)
+ASOF_OUTPUTS = (
+    "Pos_Est", "Size_Index", *[out for _, out in _SIDE_AGGREGATES.values()], "Opp_Allowed_Pos_Avg", "Opp_Avg_Size",
+    "Mismatch_Adv", "Def_Suppressor",
+)
+
+
 def matchup_features(df: DataFrame, box: DataFrame) -> DataFrame:
     """Positions, opponent totals, what opponents allow: means over the whole period."""
     profile = matchups.entity_profile(box, "player", PROFILE)
     positions = profile.select(
         "player", classify(position_rules()).alias("Pos_Est"), weighted_sum(SIZE_WEIGHTS).alias("Size_Index")
     )
-    full = matchups.opponent_totals(df.join(measured(positions), "player", "left"), "match_id", "team", "opponent", _SIDE_AGGREGATES)
+    full = matchups.opponent_totals(df.join(positions, "player", "left"), "match_id", "team", "opponent", _SIDE_AGGREGATES)
     full = matchups.mean_by_class(
         full, "opponent", "Pos_Est", {"Opp_Allowed_Pos_Avg": "points", "Opp_Avg_Size": "Size_Index"}
     )
@@ -138,17 +168,18 @@ def build_features(
     current_season: int | str | None = None,
     as_of: bool = False,
     max_rows: int = MAX_GROUP_ROWS,
+    periods: tuple[int, ...] = PERIODS,
 ) -> DataFrame:
     """One row per box-score row with all features; missing numbers are 0.
 
     With ``as_of`` the matchup columns use earlier dates only; train on those. Without it they
     are means over the whole period, which suits description but leaks into training.
     """
-    df = matchups.opponent_map(box, "match_id", "team")
+    df = matchups.opponent_map(context_features(box, max_rows), "match_id", "team")
     weight = season_weight("date", current_season) if "date" in box.columns else F.lit(1.0)
     df = df.withColumn("Season_Weight", weight)
     df = lineup_features(df, pbp, max_rows)
     # Every matchup aggregate reads the rows so far once more, so these are stored.
-    df = store(style_features(df, pbp, shots))
+    df = store(style_features(df, pbp, shots, periods))
     df = matchup_features_asof(df) if as_of else matchup_features(df, box)
     return fill_numeric(df)

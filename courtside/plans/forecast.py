@@ -2,11 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions import edge_rule, normalize_name, over_under
 from courtside.operators.rolling import latest_snapshot
-from courtside.plans.training import ORDER, PLAYER, TwoStage
+from courtside.plans.feature_build import ASOF_INPUTS, ASOF_OUTPUTS, matchup_features_asof
+from courtside.plans.training import ORDER, PLAYER, TwoStage, recent_features
+
+_NEXT, _PLAYED = "_next", "_last_played"
+
+
+def next_match(
+    features: DataFrame, side_a: str, side_b: str, home: bool = True, date: Column | None = None, days: int = 60
+) -> DataFrame:
+    """The rows that matter for the match of two sides, and one new row per active player of either.
+
+    The new rows (``_next`` is true) have the date of the match (by default the day after the newest
+    one), the other side as opponent and no statistics; ``_last_played`` is the date of the row that they
+    follow. What has to be known about earlier matches is to be computed over the result.
+    """
+    newest = features.agg(F.max("date").alias("newest")).scalar()
+    team_a, team_b = (normalize_name(F.lit(side)) for side in (side_a, side_b))
+    is_a, is_b = ((F.col("team") == name) | (F.col("team") == side) for name, side in ((team_a, side_a), (team_b, side_b)))
+    latest = latest_snapshot(features.where(F.col("date") >= F.date_sub(newest, days)), PLAYER, ORDER).where(is_a | is_b)
+    types = dict(features.dtypes)
+    when = F.date_add(newest, 1) if date is None else date
+    new = latest.select(
+        PLAYER,
+        "team",
+        F.lit(-1).cast(types["match_id"]).alias("match_id"),
+        when.cast(types["date"]).alias("date"),
+        F.when(is_a, team_b).otherwise(team_a).alias("opponent"),
+        F.when(is_a, int(home)).otherwise(int(not home)).alias("Is_Home"),
+        F.lit(True).alias(_NEXT),
+        F.col("date").alias(_PLAYED),
+    )
+    against = F.lit(False)
+    if "opponent" in features.columns:
+        against = F.coalesce(F.col("opponent").isin(side_a, side_b) | (F.col("opponent") == team_a) | (F.col("opponent") == team_b), against)
+    squads = latest.select(PLAYER).distinct().withColumn("_squad", F.lit(True))
+    past = features.join(squads, PLAYER, "left").where(F.col("_squad") | is_a | is_b | against).drop("_squad")
+    return past.withColumn(_NEXT, F.lit(False)).unionByName(new, allowMissingColumns=True)
 
 
 def matchup(
@@ -17,30 +55,26 @@ def matchup(
     home: bool = True,
     form: str = "L5_points",
     days: int = 60,
+    date: Column | None = None,
+    prepare: Callable[[DataFrame], DataFrame] = recent_features,
 ) -> DataFrame:
     """Active players of both sides with forecast, gap to form and chance to beat it, best gap first.
 
-    ``home`` says whether ``side_a`` plays at home. The teams are matched by normalised name.
+    ``home`` says whether ``side_a`` plays at home. The teams are matched by normalised name. The
+    forecast row of a player comes after the last match played: ``prepare`` computes the history up to and
+    including that match, and the matchup columns are those of the coming opponent.
     """
-    # The recency date comes from the whole table, the rows only from the two sides.
-    newest = features.agg(F.max("date").alias("newest")).scalar()
-    team_a, team_b = (normalize_name(F.lit(side)) for side in (side_a, side_b))
-    latest = latest_snapshot(features.where(F.col("date") >= F.date_sub(newest, days)), PLAYER, ORDER)
-    squads = latest.where(F.col("team").isin(side_a, side_b) | (F.col("team") == team_a) | (F.col("team") == team_b))
-    in_a = (F.col("team") == team_a) | (F.col("team") == side_a)
-    squads = squads.withColumns(
-        {
-            "opponent": F.when(in_a, team_b).otherwise(team_a),
-            "Is_Home": F.when(in_a, int(home)).otherwise(int(not home)),
-        }
-    )
-    scored = models.predict(squads)
+    rows = next_match(features, side_a, side_b, home, date, days)
+    if set(ASOF_INPUTS) <= set(rows.columns):
+        rows = matchup_features_asof(rows.drop(*ASOF_OUTPUTS))
+    coming = prepare(rows).where(_NEXT)
+    scored = models.predict(coming)
     sigma = F.lit(models.stats["sigma"])
     return scored.select(
         PLAYER,
         "team",
         "opponent",
-        F.col("date").alias("last_played"),
+        F.col(_PLAYED).alias("last_played"),
         F.col("points_hat"),
         F.col(form).alias("form"),
         (F.col("points_hat") - F.col(form)).alias("edge"),

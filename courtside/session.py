@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -19,10 +20,6 @@ SETTINGS = {
 }
 
 
-#: A table of at most this many rows (keys and a few numbers each) may be broadcast.
-MAX_BROADCAST_ROWS = 500_000
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session the caller owns."""
     for key, value in SETTINGS.items():
@@ -54,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="courtside-checkpoint-")
     context.setCheckpointDir(folder)
@@ -70,13 +67,3 @@ def store(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def measured(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Compute a join side once and mark it for broadcast if it turned out small enough.
-
-    Meant for aggregates with few keys: a broadcast then spares the large side its shuffle. A
-    larger result is joined by shuffle, where adaptive execution splits skewed partitions.
-    """
-    stored = store(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored

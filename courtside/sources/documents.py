@@ -6,6 +6,7 @@ up within the document row and flattening needs no shuffle at all.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,9 +36,19 @@ DOCUMENT_TYPE = (
 )
 
 
+#: The same with every number as text: a feed may write numbers either way.
+_AS_TEXT = re.sub(r":(int|double)\b", ":string", DOCUMENT_TYPE)
+_AS_DOUBLES = re.sub(r":int\b", ":double", DOCUMENT_TYPE)
+
+
+def document(json: Column | str) -> Column:
+    """JSON text to a typed document, numbers given as numbers or as text."""
+    return F.from_json(json, _AS_TEXT).try_cast(_AS_DOUBLES).try_cast(DOCUMENT_TYPE)
+
+
 def parse_documents(df: DataFrame, json: str = "json", match: str = "match_id") -> DataFrame:
     """Landed JSON text to a typed document; an unreadable one has neither teams nor events."""
-    return df.select(match, F.from_json(json, DOCUMENT_TYPE).alias("doc"))
+    return df.select(match, document(json).alias("doc"))
 
 
 def _teams(raw: DataFrame, match: str) -> DataFrame:
@@ -94,6 +105,7 @@ def _with_lookups(raw: DataFrame, match: str) -> DataFrame:
         .select(
             match,
             "doc",
+            *[c for c in raw.columns if c == "date"],
             F.col("_teams.tid").alias("_tids"),
             F.col("_teams.name").alias("_tnames"),
             F.col("_players.id").alias("_pids"),
@@ -166,10 +178,16 @@ def shot_rows(raw: DataFrame, match: str = "match_id") -> DataFrame:
 def box_rows(raw: DataFrame, dates: DataFrame | None = None, match: str = "match_id") -> DataFrame:
     """One row per listed player; counts that enter the efficiency default to 0.
 
-    ``dates`` gives the date per match; without it the date is null.
+    The date is a column ``date`` of ``raw`` beside the document, or comes from ``dates``, one per
+    match; without either it is null. Names are looked up by team and number as in the other tables.
     """
-    listed = _teams(raw, match).select(match, "tid", "team.name", F.explode("team.pl").alias("pid", "p"))
-    listed = listed.where(F.coalesce("p.pno", F.col("pid").try_cast("int")).isNotNull())
+    looked_up = _with_lookups(raw, match)
+    beside = ["date"] if "date" in raw.columns else []
+    per_team = looked_up.select(match, *beside, "_pids", "_pnames", F.explode_outer("doc.tm").alias("tid", "team"))
+    listed = per_team.withColumn("tid", F.col("tid").try_cast("int")).where("tid is not null")
+    listed = listed.select(match, *beside, "tid", "_pids", "_pnames", "team.name", F.explode("team.pl").alias("pid", "p"))
+    number = F.coalesce("p.pno", F.col("pid").try_cast("int"))
+    listed = listed.withColumn("pno", number).where("pno is not null")
     p = lambda field: F.col(f"p.{field}")
     n = lambda field: F.coalesce(p(field), F.lit(0))
     eff = efficiency(
@@ -179,8 +197,9 @@ def box_rows(raw: DataFrame, dates: DataFrame | None = None, match: str = "match
     )
     box = listed.select(
         match,
+        *beside,
         normalize_name("name").alias("team"),
-        normalize_name(_display_name(F.col("p"))).alias("player"),
+        _player_name(F.col("tid"), F.col("pno")).alias("player"),
         p("shirtNumber").alias("jersey"),
         p("starter").alias("starter"),
         p("sMinutes").alias("minutes"),
@@ -194,7 +213,9 @@ def box_rows(raw: DataFrame, dates: DataFrame | None = None, match: str = "match
         p("sPlusMinusPoints").alias("plus_minus"),
         eff.alias("efficiency"),
     )
-    if dates is None:
+    if beside:
+        dated = box
+    elif dates is None:
         dated = box.withColumn("date", F.lit(None).cast("string"))
     else:
         dated = box.join(dates.select(match, "date"), match, "left")

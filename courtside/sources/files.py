@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StringType, StructType
 
-from courtside.functions.cleaning import ColumnLike, as_column, minutes_of, to_date_safe
+from courtside.functions.cleaning import ColumnLike, as_column, minutes_of, to_date_safe, whole_number
 from courtside.operators.event_log import order_events
-from courtside.operators.tables import nan_to_null
+from courtside.operators.tables import nan_to_null, union_all
 
 #: Columns of the three ingested tables, in file order.
 BOX_SCHEMA = (
@@ -26,23 +28,80 @@ SHOT_SCHEMA = (
     "result STRING, period INT, time STRING"
 )
 
+#: Type of ``seq``.
+_SEQ = "struct<block:bigint,row:bigint>"
+
 
 def read_delimited(
-    spark: SparkSession, root: str, pattern: str, schema: StructType | str | None = None, sep: str = ";"
+    spark: SparkSession,
+    root: str,
+    pattern: str,
+    schema: StructType | str | None = None,
+    sep: str = ";",
+    file_order: bool = False,
 ) -> DataFrame:
-    """All files under ``root`` (at any depth) whose name matches ``pattern``, headers checked.
+    """All files under ``root`` (at any depth) whose name matches ``pattern``, by the names in their headers.
 
-    Give a schema: without one Spark reads every file once more to infer it.
+    Give a schema: without one Spark reads every file once more to infer it. With one, files may
+    differ in the columns they have and in their order: files with the same header are read together,
+    columns outside the schema are left out and absent ones are null. Values are read as text and
+    converted, so ``2.0`` fills a whole-number column and unreadable text becomes null.
+    ``file_order`` adds ``seq``, see ``with_file_order``.
     """
-    reader = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .option("sep", sep)
-        .option("header", True)
-    )
+    reader = spark.read.option("sep", sep).option("header", True)
+    matching = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     if schema is None:
-        return reader.option("inferSchema", True).csv(root)
-    return reader.schema(schema).option("enforceSchema", False).csv(root)
+        read = matching.option("inferSchema", True).csv(root)
+        return with_file_order(read) if file_order else read
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    layouts = _layouts(spark, root, pattern, wanted, sep)
+    if not layouts:
+        empty = spark.createDataFrame([], wanted)
+        return empty.withColumn("seq", F.lit(None).cast(_SEQ)) if file_order else empty
+    frames = []
+    for header, paths in sorted(layouts.items()):
+        names = [f"_{i}" for i in range(len(header))]
+        text = ", ".join(f"{n} STRING" for n in names)
+        read = reader.option("enforceSchema", True).schema(text).csv(paths)
+        read = with_file_order(read) if file_order else read
+        place = {column: name for name, column in reversed(list(zip(names, header)))}
+        columns = [_converted(place[f.name], f) for f in wanted if f.name in place]
+        frames.append(read.select(*columns, *(["seq"] if file_order else [])))
+    order = [f.name for f in wanted] + (["seq"] if file_order else [])
+    merged = union_all(*frames)
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in wanted if f.name not in merged.columns}
+    return merged.withColumns(absent).select(*order) if absent else merged.select(*order)
+
+
+def _converted(name: str, field) -> Column:
+    value = F.col(name)
+    if isinstance(field.dataType, StringType):
+        return value.alias(field.name)
+    if isinstance(field.dataType, IntegralType):
+        return whole_number(value, field.dataType.simpleString()).alias(field.name)
+    return value.try_cast(field.dataType).alias(field.name)
+
+
+def _layouts(spark: SparkSession, root: str, pattern: str, schema: StructType, sep: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by header. A header is the first line of a file, the one that names a column of the schema.
+
+    What comes to the driver is one line per file, as many as there are files to list anyway.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root)
+    named = F.lit(False)
+    for f in schema:
+        named |= F.array_contains(F.split("value", sep, -1), f.name)
+    first = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.regexp_replace("value", "^\\uFEFF|\\r$|\"", "").alias("value"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    heads = first.where((F.col("block") == 0) & named).groupBy("path").agg(F.min(F.struct("row", "value")).alias("head"))
+    found = defaultdict(list)
+    for r in heads.select("path", "head.value").collect():
+        found[tuple(c.strip() for c in r.value.split(sep))].append(unquote(r.path))
+    return {header: sorted(paths) for header, paths in found.items()}
 
 
 def _tidy(df: DataFrame) -> DataFrame:
@@ -78,7 +137,7 @@ def read_season(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, D
     """The box, play-by-play and shot tables found under ``root``, ready for feature building."""
     return (
         box_table(read_delimited(spark, root, "*box_score*.csv", BOX_SCHEMA)),
-        pbp_table(with_file_order(read_delimited(spark, root, "*pbp*.csv", PBP_SCHEMA))),
+        pbp_table(read_delimited(spark, root, "*pbp*.csv", PBP_SCHEMA, file_order=True)),
         shot_table(read_delimited(spark, root, "*shots*.csv", SHOT_SCHEMA)),
     )
 
@@ -106,13 +165,13 @@ def id_list(text: ColumnLike) -> Column:
     Pieces that are not all digits are dropped.
     """
     lines = F.transform(F.split(as_column(text), "\n"), lambda line: F.trim(F.replace(line, F.lit("\r"))))
-    pieces = F.split(F.array_join(F.slice(lines, 3, 1_000_000_000), ""), ",")
+    pieces = F.split(F.array_join(F.slice(lines, F.lit(3), F.size(lines)), ""), ",")
     return F.filter(F.transform(pieces, lambda piece: F.trim(piece)), lambda piece: piece.rlike("^[0-9]+$"))
 
 
 def parse_id_list(df: DataFrame, text: str = "value", out: str = "match_id") -> DataFrame:
-    """One row per id of every id file in ``df`` (one file text per row)."""
-    return df.select(F.explode(id_list(text)).alias(out)).select(F.col(out).cast("bigint"))
+    """One row per id of every id file in ``df`` (one file text per row); ids too long to hold are dropped."""
+    return df.select(F.explode(id_list(text)).alias(out)).select(F.col(out).try_cast("bigint")).dropna()
 
 
 def scalar_map(df: DataFrame, text: str, key: str, value: str) -> DataFrame:

@@ -70,9 +70,8 @@ def test_split_equals_plain(hot, fn):
     assert split == plain
 
 
-def test_parts_smaller_than_the_frame(hot, monkeypatch):
+def test_parts_smaller_than_the_frame(hot):
     """Parts of one or two rows, so that frames reach over many of them."""
-    monkeypatch.setattr("courtside.operators.ordered.MAX_PARTS", 400)
     some = hot.where("id < 300")
     work = ordered(some, "k", ("d", "id"), max_rows=1)
     frames = lambda w: {"b": F.sum("m").over(w.rowsBetween(-7, -1)), "a": F.sum("m").over(w.rowsBetween(1, 5))}
@@ -80,6 +79,29 @@ def test_parts_smaller_than_the_frame(hot, monkeypatch):
     assert split == rows_of(ordered(some, "k", ("d", "id")).rows(frames, back=7, ahead=5).done())
 
 
+def test_cutting_changes_no_bit_of_running_totals(spark):
+    rng = random.Random(8)
+    rows = [("hot" if rng.random() < 0.7 else f"k{i % 5}", i, rng.uniform(-1e6, 1e6) / 3, rng.random()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, id int, v double, m double").repartition(5)
+    exact = lambda frame: sorted(tuple(r) for r in frame.collect())
+    for build in (
+        lambda n: rolling.expanding(df, "k", "id", "v", ("avg", "sum"), max_rows=n),
+        lambda n: rolling.shrunk_rate(df, "k", "id", "v", "m", max_rows=n),
+    ):
+        assert exact(build(100)) == exact(build(10**9))
+
+
+def test_running_totals_of_what_is_no_number(spark):
+    rows = [(1, 1.5), (2, float("nan")), (3, float("inf")), (4, None), (5, 1e300), (6, 2.0), (7, 0.0)]
+    df = spark.createDataFrame([("a", *r) for r in rows], "k string, id int, v double")
+    got = rolling.expanding(df, "k", "id", "v", ("sum",)).orderBy("id").collect()
+    assert [r.Hist_sum_v for r in got] == [None, 1.5, 1.5, 1.5, 1.5, 1.5, 3.5]
+
+
+def test_work_without_keys_is_always_cut(hot):
+    assert find_cuts(hot, (), ("d", "id")).parts >= 2
+
+
 def test_fill_against_pandas(hot):
     pdf = hot.toPandas().sort_values(["d", "id"])
     expect = pdf["v"].ffill().bfill().astype(int).tolist()

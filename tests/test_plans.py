@@ -160,3 +160,48 @@ def test_matchup_and_line(trained):
     checked = forecast.check_line(table, "T1-7", 0.5, models.stats["sigma"], models.stats["mae_points"]).collect()
     assert len(checked) == 1 and checked[0].prob_over > 0.5
     assert abs(checked[0].prob_over + checked[0].prob_under - 1) < 1e-12
+
+
+def test_matchup_knows_the_last_match_and_the_coming_opponent(spark):
+    """Forecasts move with the side named, and form includes the last match played."""
+
+    class ByOpponent:
+        stats = {"sigma": 1.0}
+
+        def predict(self, df):
+            return df.withColumn("points_hat", F.col("Opp_Avg_Pace") + F.col("Is_Home"))
+
+    rows = []
+    for n, (one, two) in enumerate([("a", "b"), ("a", "c"), ("b", "c"), ("a", "b")] * 3):
+        for side in (one, two):
+            for k in range(3):
+                pace = {"a": 1.0, "b": 2.0, "c": 5.0}[side]
+                rows.append((n, dt.date(2024, 1, 1 + n), side, two if side == one else one, f"{side}{k}", n + k, pace))
+    schema = "match_id long, date date, team string, opponent string, player string, points long, Pace_Est double"
+    games = spark.createDataFrame(rows, schema)
+    for c in ("rebounds", "blocks", "assists", "fouls", "Fouls_Drawn", "Synergy_Score", "MIN_FL", "efficiency"):
+        games = games.withColumn(c, F.lit(3.0))
+    against = {s: {r.player: r for r in forecast.matchup(games, ByOpponent(), "a", s, home=False).collect()} for s in ("b", "c")}
+    assert {p: r.points_hat for p, r in against["b"].items() if r.team == "a"} == {f"a{k}": 2.0 for k in range(3)}
+    assert {p: r.points_hat for p, r in against["c"].items() if r.team == "a"} == {f"a{k}": 5.0 for k in range(3)}
+    assert {r.points_hat for r in against["c"].values() if r.team == "c"} == {2.0}
+    mine = sorted((r[0], r[5]) for r in rows if r[4] == "a0")[-5:]
+    assert against["b"]["a0"].form == sum(p for _, p in mine) / 5
+    assert {r.last_played for r in against["b"].values()} == {dt.date(2024, 1, 12)}
+
+
+def test_same_day_is_not_earlier(spark):
+    from courtside.operators.matchups import asof_aggregate
+
+    rows = [(1, dt.datetime(2024, 1, 1, 10), 1.0), (1, dt.datetime(2024, 1, 1, 20), 3.0), (1, dt.datetime(2024, 1, 2, 1), 9.0)]
+    got = asof_aggregate(spark.createDataFrame(rows, "k int, ts timestamp, v double"), "k", "ts", {"m": "v"}).orderBy("ts").collect()
+    assert [r.m for r in got] == [None, None, 2.0]
+
+
+def test_overtime_counts(spark):
+    from courtside.plans.feature_build import event_counts
+
+    rows = [(1, "p", n, "2pt", None, 1, 50, 50, 10) for n in (1, 4, 5, 6)]
+    schema = "match_id long, player string, period int, action_type string, sub_type string, success int, score_home long, score_away long, SEC int"
+    got = event_counts(spark.createDataFrame(rows, schema)).first()
+    assert (got.Q1_Activity, got.Q2_Activity, got.Q4_Activity, got.OT_Activity) == (1, 0, 1, 2)

@@ -1,5 +1,6 @@
 """Documents, files and incremental ingest."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -74,6 +75,26 @@ def test_box(raw, spark):
     ]
 
 
+def test_numbers_as_text(spark):
+    doc = {
+        "tm": {"1": {"name": "A", "pl": {"x": {"pno": "4", "name": "N", "sPoints": "10", "sReboundsTotal": "2.0", "starter": "1"}},
+                     "shot": [{"pno": "4", "x": "1.5", "r": "1", "per": "2", "actionNumber": "7"}]}},
+        "pbp": [{"tno": "1", "pno": "4", "actionNumber": 7, "s1": "2", "s2": 0.0, "success": "1", "period": "2", "clock": "09:00"}],
+    }
+    raw = documents.parse_documents(spark.createDataFrame([(1, json.dumps(doc))], "match_id long, json string"))
+    event, shot, line = documents.pbp_rows(raw).first(), documents.shot_rows(raw).first(), documents.box_rows(raw).first()
+    assert (event.player, event.score_home, event.score_away, event.success, event.period) == ("n", 2, 0, 1, 2)
+    assert (shot.player, shot.x, shot.result, shot.time) == ("n", 1.5, "made", "09:00")
+    assert (line.player, line.points, line.rebounds, line.starter) == ("n", 10, 2, 1)
+
+
+def test_names_agree_between_tables(spark):
+    doc = {"tm": {"1": {"name": "A", "pl": {"4": {"name": "first"}, "5": {"pno": 4, "name": "second"}}}}, "pbp": [{"tno": 1, "pno": 4}]}
+    raw = documents.parse_documents(spark.createDataFrame([(1, json.dumps(doc))], "match_id long, json string"))
+    name = documents.pbp_rows(raw).first().player
+    assert {r.player for r in documents.box_rows(raw).collect()} == {name}
+
+
 def test_links_and_page_ids(spark):
     html = "<a href='/game/5#x'>a</a><a href='/game/5'>b</a><a href='https://live.example/?id=12'>c</a>"
     pages = spark.createDataFrame([(1, html), (2, "<p>none</p>")], "page_id int, html string")
@@ -99,6 +120,30 @@ def test_delimited_files(spark, tmp_path):
     ]
 
 
+def test_files_differ_in_columns_and_number_style(spark, tmp_path):
+    schema = "match_id BIGINT, player STRING, success INT, score BIGINT, x DOUBLE"
+    files_ = {
+        "a/pbp.csv": "match_id;player;success;score;x\n1;A;1;2;0.5\n2;B;;3;\n",
+        "b c/pbp.csv": "player;extra;match_id;success\r\nC;zz;9007199254740993;1.0\r\nD;;4;x\r\n",
+        "d/pbp.csv": "x;score;success;player;match_id\n1e2;7.0;0.0;\"E;e\";5\n1.5;2.5;1;F;6.0\n",
+        "e/pbp.csv": "match_id;player;success;score;x\n",
+    }
+    for name, text in files_.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+    got = files.read_delimited(spark, str(tmp_path), "*.csv", schema, file_order=True)
+    assert got.columns == ["match_id", "player", "success", "score", "x", "seq"]
+    assert sorted(tuple(r)[:5] for r in got.fillna({"success": -1, "score": -1, "x": -1}).collect()) == [
+        (1, "A", 1, 2, 0.5),
+        (2, "B", -1, 3, -1.0),
+        (4, "D", -1, -1, -1.0),
+        (5, "E;e", 0, 7, 100.0),
+        (6, "F", 1, -1, 1.5),
+        (9007199254740993, "C", 1, -1, -1.0),
+    ]
+    assert files.read_delimited(spark, str(tmp_path / "e"), "*.csv", schema).count() == 0
+
+
 def test_table_sink(spark, tmp_path):
     df = spark.createDataFrame([(1, 2023), (2, 2024)], "id int, season int")
     files.write_table(df, str(tmp_path / "t"), partition_by=["season"])
@@ -110,7 +155,7 @@ def test_table_sink(spark, tmp_path):
 
 
 def test_id_list(spark):
-    df = spark.createDataFrame([("../out\r\n\r\n251, 230x,,\n 77 , 9",)], "value string")
+    df = spark.createDataFrame([("../out\r\n\r\n251, 230x,,\n 77 , 9, 12345678901234567890",)], "value string")
     assert [r.match_id for r in files.parse_id_list(df).collect()] == [251, 77, 9]
 
 
@@ -156,3 +201,22 @@ def test_ingest_replay_overwrites(spark, tmp_path):
     assert spark.read.parquet(f"{out}/box").count() == 3
     ingest_batch(batch, 1, out)
     assert spark.read.parquet(f"{out}/box").where(F.col("batch_id") == 1).count() == 0
+
+
+def test_ingest_waits_for_a_readable_copy(spark, tmp_path):
+    from courtside.streaming.ingest import ingest_batch
+
+    schema = "match_id long, json string, html string, _file string, _landed timestamp"
+    at = lambda minute: dt.datetime(2024, 1, 1, 0, minute)
+    good, other = json.dumps(DOCUMENT), json.dumps({"tm": {"1": {"name": "late", "pl": {"1": {"name": "x"}}}}})
+    page = "<p>Tip off 1/2/24</p>"
+    out = str(tmp_path / "out")
+    ingest_batch(spark.createDataFrame([(1, "{broken", page, "a", at(1)), (None, good, page, "a", at(1))], schema), 0, out)
+    assert spark.read.parquet(f"{out}/done").count() == 0
+    assert spark.read.parquet(f"{out}/rejects").count() == 2
+    late = [(1, other, None, "a", at(9)), (1, good, page, "z", at(2)), (1, "[]", page, "b", at(1)), (1, None, page, "b", at(1))]
+    ingest_batch(spark.createDataFrame(late, schema), 1, out)
+    box = spark.read.parquet(f"{out}/box").where("match_id = 1")
+    assert box.count() == 3 and {r.date for r in box.select("date").collect()} == {"2024-02-01"}
+    ingest_batch(spark.createDataFrame(late[:1], schema), 2, out)
+    assert spark.read.parquet(f"{out}/box").count() == 3
