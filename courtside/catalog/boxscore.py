@@ -34,7 +34,7 @@ from courtside.functions import (
 )
 from courtside.functions.labels import GRAVITY_WEIGHTS, SIZE_WEIGHTS, position_rules
 from courtside.operators import matchups
-from courtside.operators.boxstats import side_totals
+from courtside.operators.boxstats import box_ratios, side_totals
 from courtside.operators.ordered import find_cuts
 from courtside.operators.rolling import prior_mean
 from courtside.operators.shots import ZONE_POINTS, rate_by, zone_stats
@@ -164,6 +164,25 @@ def shares(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "allowed_ratios",
+    f"""WITH {_BOX}, tot AS (SELECT match_id, team, CAST(sum(points) AS DOUBLE) AS tp, sum(turnovers) AS tm, sum(rebounds) AS ta
+          FROM box GROUP BY 1, 2)
+        SELECT match_id, team, player, round(coalesce((points - rebounds) / nullif(minutes, 0), 0), 6) AS Blowout_Factor,
+          tp AS opp_points_allowed, round(coalesce(tm / nullif(ta, 0), 0), 6) AS opp_fg_allowed
+        FROM box JOIN tot USING (match_id, team)""",
+)
+def allowed_ratios(t: Tables) -> DataFrame:
+    """Points and shooting share that a side gives away, and the margin per minute."""
+    counts = {
+        "MIN_FL": "minutes", "FGA": "rebounds", "FTA": "assists", "OREB": "blocks", "FGM": "turnovers", "FG3M": "fouls",
+    }
+    shot = box(t).withColumns({k: F.col(v) for k, v in counts.items()} | {"plus_minus": F.col("points") - F.col("rebounds")})
+    return box_ratios(shot).select(
+        *KEYS, r6("Blowout_Factor").alias("Blowout_Factor"), "opp_points_allowed", r6("opp_fg_allowed").alias("opp_fg_allowed")
+    )
+
+
 # --- opponents and profiles ---------------------------------------------------------------
 
 _GAMES = f"WITH {_BOX}, {OPPONENT_SQL}"

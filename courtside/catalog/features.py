@@ -31,6 +31,7 @@ _SQL = f"""WITH {LOG_SQL}, {SQUAD_SQL}, box AS ({_BOX.format(events="ev")}),
   counted AS (SELECT day, user_id, count(CASE WHEN event_type = 'view' THEN 1 END) AS drawn,
     count(CASE WHEN event_type = 'purchase' AND pts > 0 AND period = 1 THEN 1 END) AS q1,
     count(CASE WHEN event_type = 'purchase' AND pts > 0 AND period = 4 THEN 1 END) AS q4,
+    count(CASE WHEN event_type = 'purchase' AND pts > 0 AND period > 4 THEN 1 END) AS ot,
     count(CASE WHEN period = 4 AND abs(score_home - score_away) <= 5 AND sec <= 300 THEN 1 END) AS clutch,
     count(CASE WHEN period = 4 AND abs(score_home - score_away) >= 20 THEN 1 END) AS gt FROM log GROUP BY 1, 2),
   shots AS (SELECT day, user_id, floor(value) % 100 AS x, event_id % 100 AS y FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events)
@@ -40,7 +41,9 @@ _SQL = f"""WITH {LOG_SQL}, {SQUAD_SQL}, box AS ({_BOX.format(events="ev")}),
   profile AS (SELECT user_id, avg(rebounds) AS reb, avg(blocks) AS blk, avg(assists) AS ast, avg(points) AS pts FROM box GROUP BY 1),
   pos AS (SELECT user_id, pts AS own, reb * 2 + blk * 5 AS size, CASE WHEN reb > 6 AND blk > 0.5 THEN 'C' WHEN ast > 3.5 THEN 'PG'
     WHEN reb > 4.5 THEN 'PF' WHEN pts > 12 AND ast < 2.5 THEN 'SG' ELSE 'SF' END AS pos FROM profile),
-  styled AS (SELECT box.*, syn, coalesce(n, 0) / CASE WHEN points = 0 THEN 1 ELSE points END AS dep, q1, q4, clutch, gt, drawn,
+  styled AS (SELECT box.*, syn, coalesce(n, 0) / CASE WHEN points = 0 THEN 1 ELSE points END AS dep, q1, q4, ot, clutch, gt, drawn,
+    sum(points) OVER (PARTITION BY day, team) AS tm, coalesce(CAST(day AS DATE) - lag(CAST(day AS DATE)) OVER (PARTITION BY user_id
+      ORDER BY day), 7) AS rest,
     (points + rebounds + turnovers) / CASE WHEN mins = 0 THEN 1 ELSE mins END AS pace, coalesce(q, 0) AS q, own, size, pos
     FROM box JOIN syn USING (day, user_id) JOIN counted USING (day, user_id) JOIN pos USING (user_id)
     LEFT JOIN assisted USING (day, user_id) LEFT JOIN quality USING (day, user_id)),
@@ -57,6 +60,7 @@ _SQL = f"""WITH {LOG_SQL}, {SQUAD_SQL}, box AS ({_BOX.format(events="ev")}),
     round(coalesce(tpace, 0), 6) AS Opp_Avg_Pace, CAST(coalesce(td, 0) AS BIGINT) AS Opp_Max_Foul_Drawer,
     round(coalesce(ts, 0), 6) AS Opp_Best_Def_Synergy, round(coalesce(ap, 0), 6) AS Opp_Allowed_Pos_Avg,
     round(coalesce(size - asz, 0), 6) + 0.0 AS Mismatch_Adv, round(coalesce(ap - own, 0), 6) + 0.0 AS Def_Suppressor,
+    CAST(tm AS BIGINT) AS Tm_PTS, CAST(rest AS INTEGER) AS Days_Rest, ot AS OT_Activity,
     q1 AS Q1_Activity, q4 AS Q4_Activity, clutch AS Clutch_Events, gt AS GT_Activity_Index,
     CAST(CASE WHEN day >= '2024-01-11' THEN 1.0 ELSE 0.7 END AS DOUBLE) AS Weight
   FROM games LEFT JOIN allowed ON games.opponent = allowed.opponent AND games.pos = allowed.pos"""
@@ -95,7 +99,7 @@ def feature_build(t: Tables) -> DataFrame:
     ]
     whole = [
         "Fouls_Drawn", "Opp_Avg_Pts_Allowed", "Opp_Avg_Fouls", "Opp_Max_Foul_Drawer", "Q1_Activity", "Q4_Activity",
-        "Clutch_Events", "GT_Activity_Index",
+        "Clutch_Events", "GT_Activity_Index", "OT_Activity", "Tm_PTS", "Days_Rest",
     ]
     return features.select(
         "match_id", "player", "opponent", "Pos_Est", "Weight", *whole, *[(F.round(c, 6) + 0.0).alias(c) for c in rounded]

@@ -105,6 +105,25 @@ def stint_intervals(t: Tables) -> DataFrame:
     return event_log.stints(_subs(_log(t)), _squad(t), "day", "user_id", "event_id", "change")
 
 
+@query(
+    "stint_intervals_ordered",
+    f"""WITH {LOG_SQL}, {SQUAD_SQL},
+      turns AS (SELECT l.day, l.user_id, l.ts, l.event_id, CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS change, s.starter
+        FROM log l JOIN squad s ON l.day = s.day AND l.user_id = s.user_id WHERE event_type IN ('signup', 'error')),
+      flips AS (SELECT * FROM (SELECT *, lag(change, 1, starter) OVER (PARTITION BY day, user_id ORDER BY ts, event_id) AS was
+        FROM turns) WHERE change <> was),
+      chain AS (SELECT *, lead(event_id) OVER (PARTITION BY day, user_id ORDER BY ts, event_id) AS nxt,
+        row_number() OVER (PARTITION BY day, user_id ORDER BY ts, event_id) AS rn FROM flips)
+      SELECT day, user_id, event_id AS came, nxt AS "left" FROM chain WHERE change = 1
+      UNION ALL SELECT s.day, s.user_id, NULL, c.event_id FROM squad s LEFT JOIN chain c ON s.day = c.day AND s.user_id = c.user_id
+        AND c.rn = 1 WHERE s.starter = 1""",
+)
+def stint_intervals_ordered(t: Tables) -> DataFrame:
+    """Stints in the order of time and event, shown by their events."""
+    found = event_log.stints(_subs(_log(t)), _squad(t), "day", "user_id", ORDER, "change")
+    return found.select("day", "user_id", F.col("came.event_id").alias("came"), F.col("left.event_id").alias("left"))
+
+
 NEXT_SQL = """nxt AS (SELECT day, event_type, lead(user_id) OVER (PARTITION BY day ORDER BY ts, event_id) AS actor FROM ev),
   assisted AS (SELECT day, actor AS user_id, count(*) AS Assisted_Baskets FROM nxt
     WHERE event_type = 'click' AND actor IS NOT NULL GROUP BY 1, 2)"""
@@ -162,6 +181,20 @@ def clutch_count(t: Tables) -> DataFrame:
     return event_log.conditional_count(_log(t), ["day", "user_id"], {"Clutch_Events": clutch})
 
 
+@query(
+    "clutch_shooting",
+    f"""WITH {LOG_SQL}, c AS (SELECT *, period = 4 AND abs(score_home - score_away) <= 5 AND sec <= 300 AND event_type = 'purchase'
+        AS tried FROM log), n AS (SELECT day, user_id, count(CASE WHEN tried THEN 1 END) AS fga,
+        count(CASE WHEN tried AND pts >= 2 THEN 1 END) AS fgm FROM c GROUP BY 1, 2)
+      SELECT day, user_id, fga AS Clutch_FGA, fgm AS Clutch_FGM, round(coalesce(fgm / nullif(fga, 0), 0), 6) AS Clutch_Share FROM n""",
+)
+def clutch_shooting(t: Tables) -> DataFrame:
+    clutch = event_log.is_clutch("period", F.col("score_home") - F.col("score_away"), "sec")
+    tried, made = F.col("event_type") == "purchase", F.col("pts") >= 2
+    done = event_log.clutch_shooting(_log(t), ["day", "user_id"], clutch, tried, made)
+    return done.select("day", "user_id", "Clutch_FGA", "Clutch_FGM", r6("Clutch_FG%").alias("Clutch_Share"))
+
+
 @query(
     "garbage_count",
     f"""WITH {LOG_SQL} SELECT day, user_id, count(CASE WHEN period = 4 AND abs(score_home - score_away) >= 20

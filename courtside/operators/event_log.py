@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from courtside.functions.cleaning import clock_seconds, ratio_zero_one
+from courtside.functions.cleaning import clock_seconds, ratio_or_zero, ratio_zero_one
 from courtside.operators.ordered import MAX_GROUP_ROWS, Cuts, _names, find_cuts, ordered
 from courtside.session import store
 
@@ -96,25 +96,30 @@ def stints(
     roster: DataFrame,
     grp: str,
     ent: str,
-    ord: str,
+    ord: str | Sequence[str],
     change: str,
     starter: str = "starter",
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Presence intervals ``(came, left]`` in terms of ``ord``; null is an open end."""
+    """Presence intervals ``(came, left]`` in terms of ``ord``; null is an open end.
+
+    With several order columns an end is a struct of them.
+    """
+    ord = _names(ord)
+    at = F.col(ord[0]) if len(ord) == 1 else F.struct(*ord)
     squad = roster.groupBy(grp, ent).agg(F.max(F.coalesce(starter, F.lit(0))).alias("_starter"))
-    turns = events.where(F.col(change).isNotNull()).select(grp, ent, ord, change).join(squad, [grp, ent])
+    turns = events.where(F.col(change).isNotNull()).select(grp, ent, *ord, change).join(squad, [grp, ent])
     flips = (events.where(F.col(change).isNotNull()), (grp, ent))
     turn_cuts = find_cuts(turns, (grp, ent), ord, max_rows, coarse=flips)
     real = ordered(turns, (grp, ent), ord, turn_cuts).rows(
         lambda w: {"_before": F.coalesce(F.lag(change).over(w), F.col("_starter"))}, back=1
     )
-    real_turns = real.done().where(F.col(change) != F.col("_before")).select(grp, ent, ord, change)
+    real_turns = real.done().where(F.col(change) != F.col("_before")).select(grp, ent, *ord, change)
     paired = ordered(real_turns, (grp, ent), ord, turn_cuts).rows(
-        lambda w: {"_came": F.lag(ord).over(w)}, back=1
+        lambda w: {"_came": F.lag(at).over(w)}, back=1
     )
-    closed = paired.done().where(F.col(change) == 0).select(grp, ent, F.col("_came").alias("came"), F.col(ord).alias("left"))
-    last = real_turns.groupBy(grp, ent).agg(F.max_by(change, ord).alias("_final"), F.max(ord).alias("_at"))
+    closed = paired.done().where(F.col(change) == 0).select(grp, ent, F.col("_came").alias("came"), at.alias("left"))
+    last = real_turns.groupBy(grp, ent).agg(F.max_by(change, at).alias("_final"), F.max(at).alias("_at"))
     still = (
         squad.join(last, [grp, ent], "left")
         .where(F.coalesce("_final", "_starter") == 1)
@@ -168,5 +173,13 @@ def is_clutch(period: str, margin: Column, sec: str) -> Column:
     return (F.col(period) == CLUTCH_PERIOD) & (F.abs(margin) <= CLUTCH_MARGIN) & (F.col(sec) <= CLUTCH_SECONDS)
 
 
+def clutch_shooting(
+    df: DataFrame, keys: Sequence[str], clutch: Column, attempt: Column, made: Column
+) -> DataFrame:
+    """``Clutch_FGA``, ``Clutch_FGM`` and ``Clutch_FG%`` per key; without an attempt the share is 0."""
+    counts = {"Clutch_FGA": clutch & attempt, "Clutch_FGM": clutch & attempt & made}
+    return conditional_count(df, keys, counts).withColumn("Clutch_FG%", ratio_or_zero("Clutch_FGM", "Clutch_FGA"))
+
+
 def is_garbage(period: str, margin: Column) -> Column:
     return (F.col(period) == CLUTCH_PERIOD) & (F.abs(margin) >= GARBAGE_MARGIN)
