@@ -14,7 +14,6 @@ from courtside.catalog.base import (
     day_text,
     query,
     r6,
-    stored_box,
 )
 from courtside.functions import (
     classify,

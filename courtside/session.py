@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime SQL settings. Skewed join partitions are split even when the split costs a shuffle.
 SETTINGS = {
