@@ -39,7 +39,8 @@ SPAN, GRAM = 200, 50
 BLOCK_BYTES, RUN_BYTES = 2_000_000, 4_000_000
 #: An anchor gram that occurs more often is spread by its windows.
 HOT = 5_000
-BUCKETS = 96
+#: Text bytes of a bucket of blocks, and fewest and most buckets.
+BUCKET_BYTES, MIN_BUCKETS, MAX_BUCKETS = 16_000_000, 96, 100_000
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _POWERS = Powers(0xA0761D6478BD642F)
@@ -71,10 +72,12 @@ def blocks(docs: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
             yield _block(parts, keep, first + made)
 
     spark = docs.sparkSession
+    size = data.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-size // BUCKET_BYTES)))
     name = f"blocks_{uuid.uuid4().hex}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
     made = data.mapInArrow(run, f"block long, data binary, lengths array<int>{', ' + kinds if kinds else ''}")
-    made.write.bucketBy(BUCKETS, "block").option("path", path).saveAsTable(name)
+    made.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
