@@ -6,7 +6,6 @@ import re
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from courtside.llm import covertree, minhash, suffixes
 from courtside.llm.components import components
