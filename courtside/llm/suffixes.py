@@ -367,7 +367,8 @@ def remove_repeats(
 
     ``spans`` are the removed byte intervals as start, end, start, end, ...; ``kept`` are the other bytes
     in order. All copies of a repeated string go, the first one included; strings are judged on the
-    input. With ``characters`` a span is narrowed to whole characters, so that ``kept`` stays UTF-8. A null text is empty, and a text shorter than ``span`` is left whole. Repeated rows repeat
+    input. With ``characters`` a span is narrowed to whole characters, so that ``kept`` stays UTF-8. A null
+    text is empty, and a text shorter than ``span`` is left whole. Repeated rows repeat
     each other's text. Columns not named are not carried.
     """
     windows = span - gram + 1
