@@ -3,19 +3,19 @@
 Two permutations make the whole signature: one scatters the shingles over 2^32 places, the other is
 shifted circularly by 0, 1, 2, ... places, and the least value under each shift is a coordinate. Bands
 of coordinates name buckets. Documents with equal shingle sets are one class from the start. In
-each bucket the smallest class leads and is compared with the others; only classes of a bucket that
-are still in different components after that are compared further, with more leaders each round
-and finally all with all, so that no link that could join two components is lost while
-a bucket of copies costs one comparison per member. Every comparison is of full shingle sets.
+each bucket the smallest class leads and is compared with the others, which costs one comparison per
+member. Only buckets whose members are still in different components after that are looked at
+again: cut into chunks of bounded size, any two of which meet in one task, all their sets are compared,
+so that no link that could join two components is lost. Every comparison is of full shingle sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from courtside.llm.batches import slices
 from courtside.llm.components import components
@@ -25,8 +25,8 @@ from courtside.session import store
 #: Bands and coordinates in each: at a similarity of 0.85 a pair shares no bucket once in 10^8 pairs,
 #: at 0.8 three times in 10^6.
 BANDS, ROWS = 32, 5
-#: Leaders of a bucket in the rounds after the first; then every class leads.
-LEADERS = (16, 256)
+#: Shingles of the sets in a chunk of an undecided bucket, and columns of a membership matrix.
+CHUNK_SHINGLES, MATRIX_COLUMNS = 100_000, 4_096
 
 
 def _shifted_minima(places: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -84,8 +84,7 @@ def signatures(docs: DataFrame, width: int, id_col: str, text: str) -> DataFrame
 def _confirmed(pairs: DataFrame, sources: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose sets are at least ``percent`` similar."""
     sides = [
-        sources.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"), F.col("digest").alias(f"digest_{s}"))
-        for s in "ab"
+        sources.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"
     ]
     both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b")
 
@@ -105,7 +104,7 @@ def _confirmed(pairs: DataFrame, sources: DataFrame, width: int, percent: int) -
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.drop("digest_a", "digest_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def near_duplicates(
@@ -134,29 +133,25 @@ def near_duplicates(
     sizes = classes.select(F.col("node").alias("a"), F.col("size").alias("size_a"))
     pairs = store(led.join(sizes, "a").where(like(F.col("size"), F.col("size_a"))).select("a", "b").distinct())
     nodes = members.select("node").distinct()
-    found = classes.select("node", "digest").join(nodes, "node", "left_semi")
     texts = docs.select(F.col(id_col).alias("node"), F.col(text).cast("string").cast("binary").alias("text"))
-    sources = store(found.join(texts.where("text IS NOT NULL"), "node"))
+    sources = store(nodes.join(texts.where("text IS NOT NULL"), "node"))
     links = store(_confirmed(pairs, sources, width, percent))
 
-    for leaders in (*LEADERS, None):
-        joined = components(links)
-        of = members.join(joined, "node", "left").select(
-            "bucket", "node", "size", "n", F.coalesce("component", "node").alias("component")
-        )
-        mixed = of.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_ = store(of.join(mixed.where("low <> high").select("bucket"), "bucket"))
-        if open_.isEmpty():
-            break
-        lead = open_ if leaders is None else open_.where(_chosen(F.col("node"), F.col("n"), leaders))
-        left = lead.select("bucket", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("in_a"))
-        across = left.join(open_, "bucket").where((F.col("in_a") != F.col("component")) & like(F.col("size_a"), F.col("size")))
-        fresh = across.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        fresh = store(fresh.join(pairs, ["a", "b"], "left_anti"))
-        links = store(links.unionByName(_confirmed(fresh, sources, width, percent)))
-        pairs = store(pairs.unionByName(fresh))
-    else:
-        joined = components(links)
+    joined = components(links)
+    of = members.where("n > 2").join(joined, "node", "left").select(
+        "bucket", "node", "size", F.coalesce("component", "node").alias("component")
+    )
+    mixed = of.groupBy("bucket").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.sum("size").alias("total"),
+        F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.hash("node"))).alias("same"),
+    )
+    # Buckets with the same members are one.
+    mixed = mixed.where("low <> high").groupBy("same").agg(F.min("bucket").alias("bucket"), F.first("total").alias("total"))
+    undecided = store(of.join(mixed.select("bucket", "total"), "bucket"))
+    if not undecided.isEmpty():
+        joined = components(links.unionByName(_across(undecided, sources, width, percent)))
 
     component = classes.select("digest", "node").join(joined, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component_id")
@@ -168,6 +163,73 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
 
 
-def _chosen(node: Column, members: Column, leaders: int) -> Column:
-    """About ``leaders`` classes of a bucket, the same ones in every run."""
-    return F.pmod(F.xxhash64(node, F.lit(leaders)), F.greatest(F.lit(1), members / leaders).cast("bigint")) == 0
+def _across(undecided: DataFrame, sources: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links that join components inside the undecided buckets, as edges of a spanning forest.
+
+    A bucket is cut into chunks of bounded size, and every two chunks meet in one group; small buckets
+    share a group. Which sets overlap by how much is counted inside the group, so no pairs are
+    written out.
+    """
+    chunks = F.ceil(F.col("total") / CHUNK_SHINGLES)
+    whole = undecided.where(F.col("total") <= CHUNK_SHINGLES).agg(F.sum("size")).first()[0] or 0
+    packs = max(1, -(-whole // CHUNK_SHINGLES))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    placed = undecided.withColumn("chunks", chunks).withColumn("chunk", chunk)
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    low, high = F.least("chunk", "other"), F.greatest("chunk", "other")
+    pack = F.when(F.col("chunks") == 1, F.pmod("bucket", F.lit(packs))).otherwise(F.xxhash64("bucket", low, high))
+    rows = placed.select(
+        pack.alias("pack"), "bucket", F.struct(low.alias("low"), high.alias("high")).alias("meeting"), "node", "component"
+    ).join(sources.select("node", "text"), "node")
+
+    def meet(table: pa.Table) -> pa.Table:
+        data = table.to_pydict()
+        known = dict(zip(data["node"], data["text"]))
+        sets = dict(zip(known, shingle_sets(list(known.values()), width)))
+        groups: dict[tuple, dict] = {}
+        for bucket, at, node, component in zip(data["bucket"], data["meeting"], data["node"], data["component"]):
+            groups.setdefault((bucket, at["low"], at["high"]), {})[node] = component
+        edges = {e for g in groups.values() for e in _spanning(g, sets, percent)}
+        a, b = zip(*edges) if edges else ((), ())
+        return pa.table({"a": pa.array(a, table.schema.field("node").type), "b": pa.array(b, table.schema.field("node").type)})
+
+    kind = rows.schema["node"].dataType.simpleString()
+    return store(rows.groupBy("pack").applyInArrow(meet, f"a {kind}, b {kind}"))
+
+
+def _spanning(group: dict, sets: dict, percent: int) -> Iterator[tuple]:
+    """Edges that connect the components of a group wherever two of their sets are linked."""
+    nodes = list(group)
+    labels = np.unique(np.array([group[n] for n in nodes], dtype=object).astype(str), return_inverse=True)[1]
+    if labels.max(initial=0) == 0:
+        return
+    own = [sets[n] for n in nodes]
+    sizes = np.array([len(s) for s in own], np.int64)
+    common = _common(own)
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    np.fill_diagonal(linked, False)
+    linked &= labels[:, None] != labels[None, :]
+    for i in range(len(nodes)):
+        # One edge to each component that the node is linked with.
+        others = np.flatnonzero(linked[i])
+        for j in others[np.unique(labels[others], return_index=True)[1]].tolist():
+            yield min(nodes[i], nodes[j]), max(nodes[i], nodes[j])
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by a product of membership matrices over the shared shingles."""
+    names, at, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = np.cumsum(often > 1) - 1
+    inside = (often > 1)[at]
+    row, column = row[inside], shared[at[inside]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    total = int(shared[-1]) + 1 if len(names) else 0
+    for first in range(0, total, MATRIX_COLUMNS):
+        lo, hi = np.searchsorted(column, (first, first + MATRIX_COLUMNS))
+        holds = np.zeros((len(sets), min(MATRIX_COLUMNS, total - first)), np.float32)
+        holds[row[lo:hi], column[lo:hi] - first] = 1.0
+        out += (holds @ holds.T).astype(np.int64)
+    return out
