@@ -30,30 +30,61 @@ from courtside.session import store
 PRICED, CLASSES, ROUNDS = 256, 64, 1000
 #: Rates at which weights fall with coverage, and by how much a configuration may be emptier than the mean.
 FALL, SLACK, WASTE = (1.0, 4.0, 30.0), 2.0, 8
-#: Words a worker remembers before it starts anew, and the longest that it remembers.
-CACHE_ENTRIES, CACHE_BYTES = 300_000, 64
+#: Words a worker remembers in a generation, and the longest that it remembers.
+CACHE_ENTRIES, CACHE_BYTES = 200_000, 64
+#: Signs that may stand between words in the tokenizer, and words that go through it at a time.
+BORDERS, JOINED = "§¶¤¬|", 1000
 
 
 class Words:
-    """Token ids of texts, word by word: the vocabulary drops white space and never joins over it."""
+    """Token ids of texts, word by word: the vocabulary drops white space and never joins over it.
+
+    New words go through the tokenizer many at a time, with a sign between them that is one token and
+    is in none of them. What the last words were is remembered in two generations.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.border, self.border_id = next(
+            (sign, ids[0]) for sign in BORDERS if len(ids := self.tokenizer.encode(sign, add_special_tokens=False).ids) == 1
+        )
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words of which none has the border sign."""
+        if not words:
+            return []
+        whole = self.tokenizer.encode(f" {self.border} ".join(words), add_special_tokens=False).ids
+        ids = np.array(whole, "<u4")
+        at = np.flatnonzero(ids == self.border_id)
+        data, starts, stops = ids.tobytes(), [0, *((at + 1) * 4).tolist()], [*(at * 4).tolist(), 4 * len(ids)]
+        return [data[a:b] for a, b in zip(starts, stops)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [t.split() for t in texts]
-        cache = self.cache
-        new = list({w for words in split for w in words if w not in cache})
-        if len(cache) + len(new) > CACHE_ENTRIES:
-            cache.clear()
-            new = list({w for words in split for w in words})
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache, self.older = {}, self.cache
+        cache, older = self.cache, self.older
+        new = []
+        for w in {w for words in split for w in words if w not in cache}:
+            if w in older:
+                cache[w] = older[w]
+            else:
+                new.append(w)
+        border = self.border.encode()
+        plain = [w for w in new if border not in w]
+        for i in range(0, len(plain), JOINED):
+            some = plain[i : i + JOINED]
+            cache.update(zip(some, self._ids([w.decode("utf-8") for w in some])))
+        for w in new:
+            if border in w:
+                ids = self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids
+                cache[w] = np.array(ids, "<u4").tobytes()
         out = [b"".join(map(cache.__getitem__, words)) for words in split]
         for w in new:
             if len(w) > CACHE_BYTES:
