@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.session import store
@@ -60,18 +61,23 @@ def _best_partial(k: int) -> Callable:
 
 
 def _sufficient(lists: int) -> Callable:
-    """Phase two: the pairs of a block of a list whose partial score reaches the uniform threshold."""
+    """Phase two: for each query of a block of a list the rows whose partial score reaches the threshold."""
 
     def run(key: tuple, queries: pa.Table, rows: pa.Table) -> pa.Table:
-        empty = pa.table({"q": pa.array([], pa.int64()), "x": pa.array([], pa.int64())})
+        _, qb, rb = (k.as_py() for k in key)
+        kinds = pa.schema([("q", pa.int64()), ("xs", pa.list_(pa.int64())), ("qb", pa.int32()), ("rb", pa.int32())])
         if not queries.num_rows or not rows.num_rows:
-            return empty
+            return kinds.empty_table()
         part = _products(_matrix(queries, "v"), _matrix(rows, "v"))
         cutoff = queries.column("cutoff").to_pandas().astype(float).fillna(-np.inf).to_numpy()
         # Beyond 2^53 doubles round: a slightly lower cutoff still sends all that is needed.
         safe = np.where(np.abs(cutoff) < _EXACT, cutoff, cutoff - np.abs(cutoff) * 1e-12)
         at_q, at_x = np.nonzero(part * float(lists) >= safe[:, None])
-        return pa.table({"q": queries.column("q").to_numpy()[at_q], "x": rows.column("x").to_numpy()[at_x]})
+        own, first = np.unique(at_q, return_index=True)
+        offsets = pa.array(np.append(first, len(at_q)).astype(np.int32))
+        sent = pa.ListArray.from_arrays(offsets, pa.array(rows.column("x").to_numpy()[at_x]))
+        block = [pa.array(np.full(len(own), b, np.int32)) for b in (qb, rb)]
+        return pa.table([pa.array(queries.column("q").to_numpy()[own]), sent, *block], schema=kinds)
 
     return run
 
@@ -80,15 +86,21 @@ def _resolve(k: int) -> Callable:
     """Phase three: exact scores of the pairs sent, of which the k best of a query in the block stay."""
 
     def run(key: tuple, left: pa.Table, rows: pa.Table) -> pa.Table:
-        frame = left.to_pandas()
-        pairs, queries = frame[frame["x"].notna()], frame[frame["x"].isna()]
+        is_pair = left.column("xs").is_valid()
+        pairs, queries = left.filter(is_pair), left.filter(pc.invert(is_pair))
         empty = pa.table({c: pa.array([], pa.int64()) for c in ("q", "x", "score")})
-        if not len(pairs) or not len(queries) or not rows.num_rows:
+        if not pairs.num_rows or not queries.num_rows or not rows.num_rows:
             return empty
-        q, x = queries["q"].to_numpy(np.int64), rows.column("x").to_numpy()
+        q, x = queries.column("q").to_numpy(), rows.column("x").to_numpy()
         order_q, order_x = np.argsort(q), np.argsort(x)
-        vectors, table = np.stack(queries["v"].to_numpy()), _matrix(rows, "v")
-        pq, px = pairs["q"].to_numpy(np.int64), pairs["x"].to_numpy(np.int64)
+        vectors, table = _matrix(queries, "v"), _matrix(rows, "v")
+        px = pairs.column("xs").combine_chunks().flatten().to_numpy()
+        pq = np.repeat(pairs.column("q").to_numpy(), pc.list_value_length(pairs.column("xs")).to_numpy())
+        # Several lists may have sent the same pair.
+        order = np.lexsort((px, pq))
+        pq, px = pq[order], px[order]
+        fresh = np.concatenate(([True], (np.diff(pq) != 0) | (np.diff(px) != 0)))
+        pq, px = pq[fresh], px[fresh]
         i = order_q[np.searchsorted(q, pq, sorter=order_q)]
         j = order_x[np.searchsorted(x, px, sorter=order_x)]
         score = np.concatenate([
@@ -154,9 +166,11 @@ def top_k(rows: DataFrame, k: int, id_col: str, vector: str, is_query: Column) -
     bounded = store(classes.where("ask").select(F.col("x").alias("q"), "v").join(cutoff, "q", "left"))
 
     asks = bounded.withColumn("qb", in_asks("q")).withColumn("rb", each(blocks))
-    sent = in_lists(asks).groupBy(*by).cogroup(cut_table.groupBy(*by)).applyInArrow(_sufficient(LISTS), "q long, x long")
-    pairs = sent.distinct().select("q", "x", F.lit(None).cast("array<bigint>").alias("v"), in_asks("q").alias("qb"), in_rows("x").alias("rb"))
-    left = asks.select("q", F.lit(None).cast("bigint").alias("x"), "v", "qb", "rb").unionByName(pairs)
+    sent = in_lists(asks).groupBy(*by).cogroup(cut_table.groupBy(*by)).applyInArrow(
+        _sufficient(LISTS), "q long, xs array<bigint>, qb int, rb int"
+    )
+    nothing = F.lit(None).cast("array<bigint>")
+    left = asks.select("q", nothing.alias("xs"), "v", "qb", "rb").unionByName(sent.withColumn("v", nothing))
     resolved = left.groupBy("qb", "rb").cogroup(table.groupBy("qb", "rb")).applyInArrow(
         _resolve(want), "q long, x long, score long"
     )
