@@ -31,7 +31,7 @@ PRICED, CLASSES, ROUNDS = 256, 64, 1000
 #: Rates at which weights fall with coverage, and by how much a configuration may be emptier than the mean.
 FALL, SLACK, WASTE = (1.0, 4.0, 30.0), 2.0, 8
 #: Words a worker remembers in a generation, and the longest that it remembers.
-CACHE_ENTRIES, CACHE_BYTES = 200_000, 64
+CACHE_ENTRIES, CACHE_BYTES = 500_000, 64
 #: Signs that may stand between words in the tokenizer, and words that go through it at a time.
 BORDERS, JOINED = "§¶¤¬|", 1000
 
@@ -66,16 +66,15 @@ class Words:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]
+        # The tokenizer lower-cases as well, so that words which differ in A-Z only are one.
+        split = [t.lower().split() for t in texts]
         if len(self.cache) > CACHE_ENTRIES:
             self.cache, self.older = {}, self.cache
-        cache, older = self.cache, self.older
-        new = []
-        for w in {w for words in split for w in words if w not in cache}:
-            if w in older:
-                cache[w] = older[w]
-            else:
-                new.append(w)
+        cache = self.cache
+        unknown = self._unknown({w for words in split for w in words if w not in cache})
+        parts = {w: _parts(w) for w in unknown}
+        new = self._unknown({p for w, both in parts.items() if len(both) > 1 for p in both if p not in cache})
+        new += [w for w, both in parts.items() if len(both) == 1]
         border = self.border.encode()
         plain = [w for w in new if border not in w]
         for i in range(0, len(plain), JOINED):
@@ -85,12 +84,31 @@ class Words:
             if border in w:
                 ids = self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids
                 cache[w] = np.array(ids, "<u4").tobytes()
+        for w, both in parts.items():
+            if len(both) > 1:
+                cache[w] = cache[both[0]] + cache[both[1]]
         out = [b"".join(map(cache.__getitem__, words)) for words in split]
-        for w in new:
+        for w in {*unknown, *new}:
             if len(w) > CACHE_BYTES:
                 del cache[w]
         return out
 
+    def _unknown(self, words: set[bytes]) -> list[bytes]:
+        """The words that are remembered in neither generation; those of the older one are kept."""
+        out = []
+        for w in words:
+            if w in self.older:
+                self.cache[w] = self.older[w]
+            else:
+                out.append(w)
+        return out
+
+
+def _parts(word: bytes) -> tuple[bytes, ...]:
+    """A word without the marks at its end, and these: the tokenizer always splits there."""
+    stem = word.rstrip(b".,!?;:*$%&#")
+    return (stem, word[len(stem) :]) if stem != word and stem[-1:].isalnum() else (word,)
+
 
 _WORDS: dict[str, Words] = {}
 
