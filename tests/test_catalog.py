@@ -10,8 +10,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from courtside.catalog import ORACLE, QUERIES
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +75,7 @@ def test_window_lines_are_told_apart():
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert entry.entry(spark).columns == QUERIES["rolling_mean"](spark, entry.SMOKE_DIR).columns
 
 
