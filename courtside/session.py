@@ -10,13 +10,15 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Runtime SQL settings. Skewed join partitions are split even when the split costs a shuffle.
+#: Runtime SQL settings. Skewed join partitions are split even when the split costs a shuffle; batches
+#: for Python are small, as a row may hold a long text.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
