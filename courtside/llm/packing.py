@@ -40,7 +40,7 @@ class Words:
     """Token ids of texts, word by word: the vocabulary drops white space and never joins over it.
 
     New words go through the tokenizer many at a time, with a sign between them that is one token and
-    is in none of them. What the last words were is remembered in two generations.
+    is in none of them. What the last words were is remembered in two generations, for one task.
     """
 
     def __init__(self, path: str):
@@ -93,6 +93,10 @@ class Words:
                 del cache[w]
         return out
 
+    def forget(self) -> None:
+        """Release the words, as the worker may go on with other work."""
+        self.cache, self.older = {}, {}
+
     def _unknown(self, words: set[bytes]) -> list[bytes]:
         """The words that are remembered in neither generation; those of the older one are kept."""
         out = []
@@ -154,6 +158,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str,
                 ],
                 names=["id", "piece", "start", "length", "ids_crc32", "part", "nth"],
             )
+        words.forget()
 
     data = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").cast("binary").alias("text"))
     kind = data.schema["id"].dataType.simpleString()
