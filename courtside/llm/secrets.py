@@ -3,12 +3,14 @@
 Strong patterns are reported wherever they match. Weak candidates (an account name, a random-looking
 value, an endpoint) are common in clean text, so each is reported only if parts of another
 role lie near it: the candidates of a text are cut into scopes, and inside a scope an interval join
-looks for a part of each other role whose interval, widened by ``REACH``, overlaps. A credential is
-complete with a secret and an identifier or endpoint.
+looks for a part of each other role that is apart from it by at most ``REACH`` characters. Parts that
+overlap do not complete one another. A credential is complete with a secret and an identifier or
+endpoint; a value before the ``@`` of a link is complete with that link.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -32,11 +34,15 @@ KINDS = ("assign", "access", "hex", "account", "value", "endpoint")
 ACCOUNT = re.compile(r"(?ai)\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@+-]{3,}")
 VALUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"(?ai)\b(?:https?|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3|ftp)://[^\s\"'<>]{3,}")
+#: Host and path of a link, or of one in its query; what stands before an ``@`` is no part of them.
+LOCATION = re.compile(r"://(?:([^/?#]*)@)?[^?#&]*")
 ROLES = {"assign": "secret", "hex": "secret", "value": "secret", "access": "id", "account": "id", "endpoint": "place"}
 #: A scope is this many characters; two parts belong together if at most this many lie between them.
 SCOPE = 2_000
 REACH = 300
 MIN_ENTROPY = 3.5
+#: Added to the kind of a weak part that is reported whatever lies near it.
+SURE = len(KINDS)
 #: What a redacted span is replaced by.
 MASK = "<redacted>"
 
@@ -57,14 +63,47 @@ def strong(text: str) -> list[tuple[int, int, int]]:
     return sorted(found + [(m.start(), 2, m.end()) for m in HEX.finditer(text)])
 
 
+def candidates(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]]]:
+    """Weak candidates, and those of them that are complete without another: a value before the ``@`` of a link, and the link.
+
+    What lies in the scheme, host or path of a link is no value.
+    """
+    found = [(m.start(), 3, m.end()) for m in ACCOUNT.finditer(text)]
+    values = [(m.start(), 4, m.end()) for m in VALUE.finditer(text) if _random_looking(m[0])]
+    links = [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)] if "://" in text else []
+    sure = set()
+    if values and links:
+        places, logins = [], []
+        for link in links:
+            at = link[0]
+            for m in LOCATION.finditer(text, link[0], link[2]):
+                at = at if at == link[0] else m.start()
+                if m[1] is None:
+                    places.append((at, m.end()))
+                else:
+                    places += [(at, m.start(1)), (m.end(1), m.end())]
+                    logins.append((m.start(1), m.end(1), link))
+                at = m.end()
+        values = [v for v in values if _holder(places, v) is None]
+        for v in values:
+            if login := _holder(logins, v):
+                sure |= {v, login[2]}
+    return sorted(found + values + links), sure
+
+
+def _holder(intervals: list[tuple], part: tuple[int, int, int]) -> tuple | None:
+    """The one of some intervals, in order and apart, that contains the part."""
+    i = bisect.bisect_right(intervals, part[0], key=lambda x: x[0]) - 1
+    return intervals[i] if i >= 0 and part[2] <= intervals[i][1] else None
+
+
+def _overlaps(part: tuple[int, int, int], taken: list[tuple[int, int, int]]) -> bool:
+    return any(s < part[2] and part[0] < e for s, _, e in taken)
+
+
 def weak(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Weak candidates that overlap no strong match."""
-    found = [(m.start(), 3, m.end()) for m in ACCOUNT.finditer(text)]
-    found += [(m.start(), 4, m.end()) for m in VALUE.finditer(text) if _random_looking(m[0])]
-    if "://" in text:
-        found += [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)]
-    free = [w for w in found if not any(s < w[2] and w[0] < e for s, _, e in taken)] if taken else found
-    return sorted(free)
+    return [w for w in candidates(text)[0] if not _overlaps(w, taken)]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -74,7 +113,8 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 def _scan() -> Callable[[list[str]], tuple]:
     def one(text: str) -> tuple:
         found = strong(text)
-        parts = weak(text, found)
+        own, sure = candidates(text)
+        parts = [(s, k + SURE * ((s, k, e) in sure), e) for s, k, e in own if not _overlaps((s, k, e), found)]
         counts = Counter(k for _, k, _ in found)
         base = joined(found)
         digest = hashlib.sha256(base.encode()).hexdigest()
@@ -87,29 +127,29 @@ def _linked(rows: DataFrame) -> DataFrame:
     """Spans of each row with the weak ones that have a complementary part, as (row, spans)."""
     at = F.explode(F.sequence(F.lit(0), F.size("flat") - 1, F.lit(3)))
     value: Callable[[int], Column] = lambda i: F.get("flat", F.col("at") + i)
-    role = F.element_at(F.create_map(*[F.lit(x) for k in KINDS for x in (KINDS.index(k), ROLES[k])]), F.col("kind"))
+    kind, state = F.col("code") % len(KINDS), F.floor(F.col("code") / len(KINDS)) * len(KINDS)
     parts = (
         rows.where("has_weak")
         .select("row", "flat", at.alias("at"))
-        .select("row", value(0).alias("start"), value(1).alias("kind"), value(2).alias("stop"))
-        .withColumn("role", role)
+        .select("row", value(0).alias("start"), value(1).alias("code"), value(2).alias("stop"))
+        .withColumns({"kind": kind, "state": state})
+        .withColumn("secret", F.col("kind").isin([KINDS.index(k) for k in KINDS if ROLES[k] == "secret"]))
     )
     # A part stands in every scope that its widened interval touches, so no pair is lost at a border.
     first, last = F.greatest(F.lit(0), F.floor((F.col("start") - REACH) / SCOPE)), F.floor((F.col("stop") + REACH) / SCOPE)
     placed = parts.withColumn("scope", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    in_order = Window.partitionBy("row", "scope").orderBy("start", "kind")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    after = in_order.rowsBetween(1, Window.unboundedFollowing)
-    # Per role, the nearest end before and the nearest start after decide whether any interval overlaps.
-    near = {}
-    for r in ("secret", "id", "place"):
-        is_role = F.col("role") == r
-        end = F.max(F.when(is_role, F.col("stop"))).over(before)
-        start = F.min(F.when(is_role, F.col("start"))).over(after)
-        near[r] = F.coalesce(F.col("start") - end <= REACH, F.lit(False)) | F.coalesce(start - F.col("stop") <= REACH, F.lit(False))
-    seen = placed.withColumns({f"near_{r}": c for r, c in near.items()})
-    complete = F.when(F.col("role") == "secret", F.col("near_id") | F.col("near_place")).otherwise(F.col("near_secret"))
-    kept = seen.where((F.col("kind") < 3) | complete).select("row", "start", "kind", "stop").distinct()
+    # Both ends of a part stand in one order: a start looks back for ends, an end looks ahead for starts.
+    ends = placed.withColumn("ends", F.explode(F.array(F.lit(False), F.lit(True))))
+    ends = ends.withColumn("place", F.when(F.col("ends"), F.col("stop")).otherwise(F.col("start")))
+    in_order = Window.partitionBy("row", "scope").orderBy("place")
+    before, after = in_order.rangeBetween(-REACH, 0), in_order.rangeBetween(0, REACH)
+    near: Callable[[Column], Column] = lambda there: F.when(
+        F.col("ends"), F.max(there & ~F.col("ends")).over(after)
+    ).otherwise(F.max(there & F.col("ends")).over(before))
+    seen = ends.withColumns({"near_secret": near(F.col("secret")), "near_other": near(~F.col("secret"))})
+    complete = F.when(F.col("secret"), F.col("near_other")).otherwise(F.col("near_secret"))
+    reported = (F.col("kind") < 3) | (F.col("state") == SURE) | complete
+    kept = seen.where(reported).select("row", "start", "kind", "stop").distinct()
     name = F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     span = F.struct("start", "kind", "stop", F.concat_ws(":", name, "start", "stop").alias("shown"))
     return kept.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("linked"))

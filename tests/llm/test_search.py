@@ -202,3 +202,30 @@ def test_redaction_leaves_no_strong_secret(spark):
             assert got[i] == text
         else:
             assert secrets.MASK in got[i] and not base(got[i])
+
+
+LINKS = [
+    "read https://www.example.com/2023/05/articles/best-of-the-world today", "see https://github.com/apache/spark/pull/12345 and more",
+    "https://www.example.com/2023/05/articles/best-of-the-world https://github.com/apache/spark/pull/12345 " * 40,
+    "user: johnsmith1234567890abc wrote this", "go https://a.example/go?to=https://www.example.com/2023/05/articles/best-of-the-world on",
+    "jdbc:postgresql://db-17.eu-west-1.rds.example.com/2023/05/archive-of-the-world s3://bucket-2023-05-17-archive/x",
+]
+
+
+def test_links_in_clean_prose_stay(spark):
+    docs = spark.createDataFrame(list(enumerate(LINKS)), "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in secrets.scan(docs, ["doc_id"]).collect()} == dict.fromkeys(range(len(LINKS)), "")
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == dict(enumerate(LINKS))
+
+
+def test_parts_beside_or_before_the_host_of_a_link_are_linked(spark):
+    key, link = "Zx9Q1w8E2r7T3y6U5i4O", "https://www.example.com/2023/05/articles/best-of-the-world"
+    texts = {
+        f"{link} {key}": "endpoint:0:58,value:59:79",
+        f"postgres://root:{key}@db.example/x": "endpoint:0:49,value:16:36",
+        f"user=admin1 https://h.example/x#{key}": "account:0:11,value:32:52",
+        f"{key}{' ' * 300}user=admin1": "value:0:20,account:320:331",
+        f"{key}{' ' * 301}user=admin1": "",
+    }
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r.text: r.spans for r in secrets.scan(docs, ["text"]).collect()} == texts
