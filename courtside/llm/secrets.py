@@ -4,7 +4,8 @@ Strong patterns are reported wherever they match. Weak candidates (an account na
 value, an endpoint) are common in clean text, so each is reported only if parts of another
 role lie near it: the candidates of a text are cut into scopes, and inside a scope an interval join
 looks for a part of each other role that is apart from it by at most ``REACH`` characters. Parts that
-overlap do not complete one another. A credential is complete with a secret and an identifier or
+overlap do not complete one another. An account or endpoint that overlaps a strong match is not reported
+on its own, yet other parts may be linked to it. A credential is complete with a secret and an identifier or
 endpoint; a value before the ``@`` of a link is complete with that link.
 """
 
@@ -41,8 +42,9 @@ ROLES = {"assign": "secret", "hex": "secret", "value": "secret", "access": "id",
 SCOPE = 2_000
 REACH = 300
 MIN_ENTROPY = 3.5
-#: Added to the kind of a weak part that is reported whatever lies near it.
-SURE = len(KINDS)
+#: Added to the kind of a weak part that is reported whatever lies near it, and of one that overlaps
+#: a strong match: it is not reported itself, but other parts may be linked to it.
+SURE, SILENT = len(KINDS), 2 * len(KINDS)
 #: What a redacted span is replaced by.
 MASK = "<redacted>"
 
@@ -114,7 +116,12 @@ def _scan() -> Callable[[list[str]], tuple]:
     def one(text: str) -> tuple:
         found = strong(text)
         own, sure = candidates(text)
-        parts = [(s, k + SURE * ((s, k, e) in sure), e) for s, k, e in own if not _overlaps((s, k, e), found)]
+        parts = []
+        for s, k, e in own:
+            if not _overlaps((s, k, e), found):
+                parts.append((s, k + SURE * ((s, k, e) in sure), e))
+            elif KINDS[k] != "value":
+                parts.append((s, k + SILENT, e))
         counts = Counter(k for _, k, _ in found)
         base = joined(found)
         digest = hashlib.sha256(base.encode()).hexdigest()
@@ -148,7 +155,7 @@ def _linked(rows: DataFrame) -> DataFrame:
     ).otherwise(F.max(there & F.col("ends")).over(before))
     seen = ends.withColumns({"near_secret": near(F.col("secret")), "near_other": near(~F.col("secret"))})
     complete = F.when(F.col("secret"), F.col("near_other")).otherwise(F.col("near_secret"))
-    reported = (F.col("kind") < 3) | (F.col("state") == SURE) | complete
+    reported = (F.col("kind") < 3) | (F.col("state") == SURE) | (complete & (F.col("state") != SILENT))
     kept = seen.where(reported).select("row", "start", "kind", "stop").distinct()
     name = F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     span = F.struct("start", "kind", "stop", F.concat_ws(":", name, "start", "stop").alias("shown"))
