@@ -40,12 +40,16 @@ class Words:
     """Token ids of texts, word by word: the vocabulary drops white space and never joins over it.
 
     New words go through the tokenizer many at a time, with a sign between them that is one token and
-    is in none of them. What the last words were is remembered in two generations, for one task.
+    is in none of them. What the last words were is remembered in two generations, for one task. A text
+    that holds an added token of the vocabulary, which is one id wherever it stands, is encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
+        # For words of texts without an added token; lower-casing must not make one.
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.border, self.border_id = next(
@@ -66,8 +70,9 @@ class Words:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
         # The tokenizer lower-cases as well, so that words which differ in A-Z only are one.
-        split = [t.lower().split() for t in texts]
+        split = [[] if i in whole else t.lower().split() for i, t in enumerate(texts)]
         if len(self.cache) > CACHE_ENTRIES:
             self.cache, self.older = {}, self.cache
         cache = self.cache
@@ -88,6 +93,9 @@ class Words:
             if len(both) > 1:
                 cache[w] = cache[both[0]] + cache[both[1]]
         out = [b"".join(map(cache.__getitem__, words)) for words in split]
+        for i in whole:
+            ids = self.whole.encode(texts[i].decode("utf-8"), add_special_tokens=False).ids
+            out[i] = np.array(ids, "<u4").tobytes()
         for w in {*unknown, *new}:
             if len(w) > CACHE_BYTES:
                 del cache[w]

@@ -145,3 +145,28 @@ def test_configurations_hold_every_piece(histogram):
     assert held == histogram
     greedy = sum(g.count for g in packing.best_fit(histogram, 64))
     assert sum(g.count for g in groups) <= 1.1 * greedy + 2
+
+
+MARKED = [
+    "a <|endoftext|> b", "<|startoftext|>A b<|endoftext|>", "<|ENDOFTEXT|> <|EndOfText|>", "x<|endoftext|>Y <|endoftext|", "<| endoftext |>",
+    "É§ <|endoftext|>\u3000\n" * 3000, "<|endoftext|>",
+]
+
+
+@pytest.fixture(scope="module")
+def untouched():
+    return Tokenizer.from_file(WORDS)
+
+
+@settings(max_examples=100, deadline=None)
+@given(parts=st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "Word's", "é§", "\n", "1."]), max_size=12))
+def test_added_tokens_are_one_id_as_the_library_has_it(untouched, parts):
+    text = "".join(parts)
+    ids = untouched.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing._words(WORDS).encode([text.encode()])[0], "<u4").tolist() == ids
+
+
+def test_packing_of_texts_with_added_tokens(spark, untouched):
+    rows = list(enumerate(MARKED))
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), WORDS, 4096).collect()
+    check_packing(rows, pieces, untouched, 4096)
