@@ -10,7 +10,8 @@ from courtside.functions.scoring import ERF_A, ERF_P
 from courtside.operators import evaluation
 from courtside.operators.rolling import history_features, recent_only
 from courtside.plans.forecast import matchup
-from courtside.plans.training import Boosting, fit_gbt
+from courtside.plans.training import SMOOTHED_MINUTES, SMOOTHED_RATE, Boosting, fit_gbt
+from courtside.session import store
 
 KEYS = ("player", "match_id")
 
@@ -203,22 +204,23 @@ _MODEL_MEANS = {
 
 
 def _forecast(t: Tables, label: str, boosting: Boosting) -> DataFrame:
-    """Fit on all but the last 60 days, score those."""
+    """Fit on all but the last 60 days, score those; the rows are written once, as every round reads them."""
     rows = history_features(history(t), "player", PLAYER_ORDER, ("points", "minutes"), _MODEL_MEANS).fillna(0)
     rows = rows.withColumns(
         {"rate": rate_target("points", "minutes"), "weight": sample_weight("minutes", season_weight("date", 2000))}
     )
-    train, test = evaluation.split_by_days(rows, "date")
     features = [*_MODEL_MEANS, "L1_points", "L1_minutes"]
+    rows = store(rows.select(*KEYS, "date", "minutes", "rate", "weight", *features))
+    train, test = evaluation.split_by_days(rows, "date")
     model = fit_gbt(train, features, label, "weight", boosting, "prediction")
     return model.transform(test).select(*KEYS, F.col(label).cast("double").alias("actual"), "prediction")
 
 
 @query("gbt_minutes")
 def gbt_minutes(t: Tables) -> DataFrame:
-    return _forecast(t, "minutes", Boosting("absolute", 4, 0.2, 5, 0.8))
+    return _forecast(t, "minutes", SMOOTHED_MINUTES)
 
 
 @query("gbt_rate")
 def gbt_rate(t: Tables) -> DataFrame:
-    return _forecast(t, "rate", Boosting("squared", 3, 0.2, 5, 0.7, 0.7))
+    return _forecast(t, "rate", SMOOTHED_RATE)

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from courtside.catalog import QUERIES, forecasting
 from courtside.operators.event_log import order_events
 from courtside.plans import feature_build, forecast, training
 from courtside.plans.training import Boosting
@@ -205,3 +206,16 @@ def test_overtime_counts(spark):
     schema = "match_id long, player string, period int, action_type string, sub_type string, success int, score_home long, score_away long, SEC int"
     got = event_counts(spark.createDataFrame(rows, schema)).first()
     assert (got.Q1_Activity, got.Q2_Activity, got.Q4_Activity, got.OT_Activity) == (1, 0, 1, 2)
+
+
+@pytest.mark.parametrize("name, boosting", [("gbt_minutes", training.SMOOTHED_MINUTES), ("gbt_rate", training.SMOOTHED_RATE)])
+def test_model_queries_fit_all_rounds(spark, sf_dir, monkeypatch, name, boosting):
+    used = []
+
+    def fit(train, features, label, weight, given, out):
+        used.append(given)
+        return training.fit_gbt(train, features, label, weight, training.Boosting("squared", 1, 0.1, 1), out)
+
+    monkeypatch.setattr(forecasting, "fit_gbt", fit)
+    assert QUERIES[name](spark, sf_dir).count() > 0
+    assert used == [boosting] and boosting.rounds >= 300
