@@ -34,9 +34,9 @@ def words(text: str) -> str:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """One dictionary per language, from at most ``DICTIONARY_ROWS`` pieces of labelled texts each.
+    """One dictionary per language, from pieces of at most ``DICTIONARY_ROWS`` different labelled texts each.
 
-    The rows are chosen by a hash of the text. Null texts, null languages and texts without a
+    The texts are chosen by their hash; copies of one count once. Null texts, null languages and texts without a
     letter teach nothing.
     """
     at = F.pmod(F.hash(text), F.greatest(F.lit(1), F.length(text) - PIECE_CHARS + 1)) + 1
@@ -46,9 +46,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str
         F.col(text).substr(at, F.lit(PIECE_CHARS)).alias("piece"),
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    chosen = rows.withColumn("rank", rank).where(F.col("rank") <= DICTIONARY_ROWS)
+    first = rows.select("lang", "order").distinct().withColumn("rank", rank).where(F.col("rank") <= DICTIONARY_ROWS)
+    first = first.select("lang", "order").limit(MAX_LANGUAGES * DICTIONARY_ROWS + 1)
+    chosen = rows.join(F.broadcast(first), ["lang", "order"], "left_semi").groupBy("lang", "order").agg(F.min("piece").alias("piece"))
     pieces: dict[str, list[str]] = {}
-    for row in sorted(chosen.select("lang", "order", "piece").limit(MAX_LANGUAGES * DICTIONARY_ROWS + 1).collect()):
+    for row in sorted(chosen.select("lang", "order", "piece").collect()):
         pieces.setdefault(row.lang, []).append(row.piece)
     if len(pieces) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")

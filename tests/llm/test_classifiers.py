@@ -79,3 +79,10 @@ def test_narrow_margins_are_not_accepted(spark):
 def test_sizes_use_the_dictionary_in_every_piece():
     words = " ".join(f"word{i}" for i in range(2000)).encode()
     assert Sizes(words)(words) < Sizes()(words)
+
+
+def test_language_learns_from_different_texts(spark):
+    names = ["alpha beta", "gamma delta", "omega sigma", "theta kappa", "lambda rho"]
+    train = spark.createDataFrame([(t, "en") for t in names] * 300 + [(None, "en"), ("12", "en")], "text string, lang string")
+    model = language.fit(train)
+    assert sorted(model["en"].decode().split()) == sorted(" ".join(names).split())
