@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.catalog.base import Tables
-from courtside.llm import bpe, covertree, language, minhash, packing, quality, secrets, suffixes, topk, urls
+from courtside.llm import (
+    bpe,
+    covertree,
+    language,
+    minhash,
+    packing,
+    periodic,
+    quality,
+    secrets,
+    suffixes,
+    tokencounts,
+    topk,
+    urls,
+)
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -160,3 +173,54 @@ def suffix_query(t: Tables) -> DataFrame:
 @query("op7_embedding_dedup")
 def embedding_query(t: Tables) -> DataFrame:
     return covertree.near_vectors(t.embeddings)
+
+
+#: Documents with more tokens are over the limit.
+TOKEN_LIMIT = 2048
+
+
+@query("op11_token_counts")
+def token_counts_query(t: Tables) -> DataFrame:
+    counted = tokencounts.count_tokens(t.documents, public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten by the checksum of its id repeats a part of its words up to its end."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(checksum / 10)
+
+    def repeated(words: Column) -> Column:
+        start = F.pmod(g, F.size(words))
+        period = 1 + F.floor((F.size(words) - start) / (3 + F.pmod(g, F.lit(8))))
+        source = lambda i: F.when(i < start, i).otherwise(start + F.pmod(i - start, period))
+        return F.array_join(F.transform(words, lambda _, i: F.get(words, source(i.cast("bigint")).cast("int"))), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # One element, so that the words are split once and not anew for each of them.
+    altered = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w))), F.lit(0))
+    return docs.withColumn("text", F.when(F.pmod(checksum, F.lit(10)) == 0, altered).otherwise(F.col("text")))
+
+
+@query("op12_periodic_runs")
+def periodic_query(t: Tables) -> DataFrame:
+    """The runs of the documents with planted repeats, and what is left of them."""
+    found = periodic.find_runs(with_planted_runs(t.documents.select("doc_id", "text")), ["doc_id"])
+    n = F.expr("size(runs) div 3")
+    value = lambda i, k: F.get("runs", (3 * i + k).cast("int"))
+    rows = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+        value(i, 1).alias("length"), (-value(i, 0)).alias("start"), (-value(i, 2)).alias("period")
+    )))
+    lines = F.transform("rows", lambda r: F.concat_ws(",", (-r.start).cast("string"), r.length.cast("string"), (-r.period).cast("string")))
+    best = found.select("doc_id", "collapsed", n.alias("n_runs"), rows.alias("rows")).withColumn("best", F.array_max("rows"))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return best.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.call_function("div", 1000 * length, period).alias("exponent_milli"),
+        F.sha2(F.coalesce(F.concat(F.array_join(lines, "\n"), F.lit("\n")), F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
