@@ -13,6 +13,7 @@ from courtside.llm import (
     covertree,
     language,
     minhash,
+    negatives,
     packing,
     periodic,
     quality,
@@ -224,3 +225,31 @@ def periodic_query(t: Tables) -> DataFrame:
         F.sha2(F.coalesce(F.concat(F.array_join(lines, "\n"), F.lit("\n")), F.lit("")), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op13_hard_negatives",
+    """WITH fine AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, c.id, a.label = c.label AS same, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(a.v, c.v)]) AS BIGINT) AS score
+  FROM fine a JOIN fine c ON a.id % 100 = 0 AND a.id <> c.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""",
+)
+def negatives_query(t: Tables) -> DataFrame:
+    fine = t.embeddings.where(topk.usable("embedding"))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("bigint"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(
+        fine.select("vec_id", moved.alias("label"), whole.alias("v")), F.col("vec_id") % 100 == 0
+    )
