@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from courtside.catalog.base import BY_PLAYER, HISTORY_SQL, PLAYER_ORDER, Tables, day_text, history, query, r6
+from courtside.catalog.base import BY_PLAYER, HISTORY_SQL, PLAYER_ORDER, Tables, box, box_sql, day_text, history, query, r6
 from courtside.functions import combine, edge_rule, over_under, rate_target, sample_weight, season_weight
 from courtside.functions.scoring import ERF_A, ERF_P
-from courtside.operators import evaluation
+from courtside.operators import evaluation, matchups
 from courtside.operators.rolling import history_features, recent_only
-from courtside.plans.forecast import matchup
+from courtside.plans.feature_build import ASOF_OUTPUTS, MatchupState
+from courtside.plans.forecast import matchup, next_match
 from courtside.plans.training import SMOOTHED_MINUTES, SMOOTHED_RATE, Boosting, fit_gbt
 from courtside.session import store
 
@@ -195,6 +196,52 @@ def matchup_list(t: Tables) -> DataFrame:
     return listed.select("player", "team", "opponent", day_text("last_played").alias("last_played"), r6("form").alias("form"), gap)
 
 
+# Teams in lower case; a player of both sides of an order is two players.
+_BEFORE = "OVER (PARTITION BY player ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING)"
+_CLASS_SQL = """CASE WHEN r > 6 AND k > 0.5 THEN 'C' WHEN a > 3.5 THEN 'PG' WHEN r > 4.5 THEN 'PF'
+  WHEN q > 12 AND a < 2.5 THEN 'SG' ELSE 'SF' END"""
+_OUT_SQL = {
+    "Opp_Avg_Pts_Allowed": "p", "Opp_Avg_Fouls": "f", "Opp_Avg_Pace": "pace", "Opp_Max_Foul_Drawer": "drawn", "Opp_Best_Def_Synergy": "synergy",
+}
+NEXT_MATCH_SQL = f"""WITH {box_sql("l_partkey")},
+  b AS (SELECT box.* REPLACE (lower(team) AS team, player * 2 + CASE WHEN starts_with(team, 'O') THEN 1 ELSE 0 END AS player),
+      CASE WHEN minutes = 0 THEN 1 ELSE minutes END AS m, CAST(o_orderdate AS DATE) AS date FROM box JOIN orders ON match_id = o_orderkey),
+  sides AS (SELECT DISTINCT match_id, team FROM b),
+  g AS (SELECT b.*, s.team AS opponent, (points + rebounds + turnovers) / m AS pace
+      FROM b LEFT JOIN sides s ON b.match_id = s.match_id AND b.team <> s.team),
+  h AS (SELECT *, avg(rebounds) {_BEFORE} AS r, avg(blocks) {_BEFORE} AS k, avg(assists) {_BEFORE} AS a, avg(points) {_BEFORE} AS q FROM g),
+  classes AS (SELECT opponent, {_CLASS_SQL} AS cls, avg(points) AS allowed, avg(2 * r + 5 * k) AS faced FROM h GROUP BY 1, 2),
+  values_of AS (SELECT match_id, team, sum(points) AS p, sum(fouls) AS f, avg(pace) AS pace, max(turnovers) AS drawn,
+      max(assists / 2.0::DOUBLE) AS synergy FROM g GROUP BY 1, 2),
+  totals AS (SELECT team, {", ".join(f"avg({c}) AS {out}" for out, c in _OUT_SQL.items())} FROM values_of GROUP BY 1),
+  own AS (SELECT player, avg(rebounds) AS r, avg(blocks) AS k, avg(assists) AS a, avg(points) AS q FROM g GROUP BY 1),
+  latest AS (SELECT *, row_number() OVER (PARTITION BY player ORDER BY date DESC, match_id DESC) AS rn FROM g
+      WHERE date >= (SELECT max(date) - 60 FROM g)),
+  coming AS (SELECT player, team, CASE WHEN team = 'o-1' THEN 'o-2' ELSE 'o-1' END AS opponent, date FROM latest
+      WHERE rn = 1 AND team IN ('o-1', 'o-2')),
+  known AS (SELECT coming.*, {_CLASS_SQL} AS cls, 2 * r + 5 * k AS size, q FROM coming JOIN own USING (player))
+  SELECT player, known.team, known.opponent, strftime(date, '%Y-%m-%d') AS last_played, cls AS Pos_Est, round(size, 6) AS Size_Index,
+    {", ".join(f"round({out}, 6) AS {out}" for out in _OUT_SQL)}, round(allowed, 6) AS Opp_Allowed_Pos_Avg, round(faced, 6) AS Opp_Avg_Size,
+    round(size - faced, 6) AS Mismatch_Adv, round(allowed - q, 6) AS Def_Suppressor
+  FROM known LEFT JOIN totals ON known.opponent = totals.team LEFT JOIN classes USING (opponent, cls)"""
+
+
+@query("next_match_features", NEXT_MATCH_SQL)
+def next_match_features(t: Tables) -> DataFrame:
+    """Matchup columns of the active players of two sides before their next match, from the state of the whole league."""
+    dates = t.orders.select(F.col("o_orderkey").alias("match_id"), F.col("o_orderdate").cast("date").alias("date"))
+    rows = box(t).withColumn("player", F.col("player") * 2 + F.when(F.col("team").startswith("O"), 1).otherwise(0))
+    rows = rows.withColumn("team", F.lower("team")).join(dates, "match_id")
+    pace = (F.col("points") + F.col("rebounds") + F.col("turnovers")) / F.when(F.col("minutes") == 0, 1).otherwise(F.col("minutes"))
+    rows = rows.withColumns({"Pace_Est": pace, "Fouls_Drawn": F.col("turnovers"), "Synergy_Score": F.col("assists") / 2})
+    games = store(matchups.opponent_map(rows, "match_id", "team"))
+    coming = MatchupState.of(games).attach(next_match(games, "o-1", "o-2").where("_next"))
+    numbers = [c for c in ASOF_OUTPUTS if c != "Pos_Est"]
+    return coming.select(
+        "player", "team", "opponent", day_text("_last_played").alias("last_played"), "Pos_Est", *[r6(c).alias(c) for c in numbers]
+    )
+
+
 _MODEL_MEANS = {
     "L3_points": ("points", 3, 1),
     "L5_points": ("points", 5, 1),

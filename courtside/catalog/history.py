@@ -80,6 +80,21 @@ def expanding_split(t: Tables) -> DataFrame:
     return _expanding(t, cuts=FORCED)
 
 
+@query(
+    "expanding_double",
+    f"""WITH hist AS (SELECT o_orderkey AS match_id, o_custkey AS player, o_orderdate AS date,
+          CAST((o_orderkey % 1001) * (o_orderkey % 3 - 1) AS DOUBLE) * CASE WHEN o_orderkey % 2 = 0 THEN 4096.0::DOUBLE
+            ELSE 1.0::DOUBLE / 1048576 END AS x FROM orders)
+        SELECT player, match_id, sum(x) {_frame('UNBOUNDED')} + 0.0 AS Hist_sum_x, avg(x) {_frame('UNBOUNDED')} + 0.0 AS Hist_avg_x FROM hist""",
+)
+def expanding_double(t: Tables) -> DataFrame:
+    """Running sums of fractions with the table cut into 32 parts, not rounded anywhere."""
+    scale = F.when(F.col("match_id") % 2 == 0, 4096.0).otherwise(1 / 1048576)
+    x = ((F.col("match_id") % 1001) * (F.col("match_id") % 3 - 1)).cast("double") * scale
+    done = rolling.expanding(history(t).withColumn("x", x), "player", PLAYER_ORDER, "x", cuts=FORCED)
+    return done.select(*KEYS, *[(F.col(c) + 0.0).alias(c) for c in ("Hist_sum_x", "Hist_avg_x")])
+
+
 @query(
     "trend",
     f"WITH {HISTORY_SQL} SELECT player, match_id, round({_mean_sql('minutes', 5)} - {_mean_sql('minutes', 10)}, 6) AS Trend_minutes FROM hist",
@@ -127,6 +142,22 @@ def shrunk_rate(t: Tables) -> DataFrame:
     return done.select(*KEYS, r6("rate").alias("rate"))
 
 
+@query(
+    "shrunk_rate_split",
+    f"""WITH {HISTORY_SQL}, parts AS (SELECT *, points / 64.0::DOUBLE AS x, minutes / 4.0::DOUBLE AS y FROM hist),
+        prior AS (SELECT sum(x) / greatest(sum(y), 1) AS p FROM parts),
+        s AS (SELECT player, match_id, coalesce(sum(x) {_frame('UNBOUNDED')}, 0) AS pts,
+                coalesce(sum(y) {_frame('UNBOUNDED')}, 0) AS mins FROM parts)
+        SELECT player, match_id, round(mins / (mins + 30.0::DOUBLE) * (pts / greatest(mins, 1))
+          + (1 - mins / (mins + 30.0::DOUBLE)) * p, 6) AS rate FROM s, prior""",
+)
+def shrunk_rate_split(t: Tables) -> DataFrame:
+    """Rates of fractions with the table cut into 32 parts, across the players' histories."""
+    parts = history(t).withColumns({"x": F.col("points") / 64, "y": F.col("minutes") / 4})
+    done = rolling.shrunk_rate(parts, "player", PLAYER_ORDER, "x", "y", out="rate", cuts=FORCED)
+    return done.select(*KEYS, r6("rate").alias("rate"))
+
+
 @query(
     "blowout_flag",
     f"WITH {HISTORY_SQL} SELECT player, match_id, CASE WHEN abs(plus_minus) > 15 THEN 1 ELSE 0 END AS flag FROM hist",

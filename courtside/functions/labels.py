@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -66,21 +67,23 @@ def code_map(
 
 def season_weight(
     date: ColumnLike,
-    current_year: int | str | None,
+    current_year: int | str | dt.date | None,
     start: tuple[int, int] = SEASON_START,
     weights: tuple[float, float, float] = SEASON_WEIGHTS,
 ) -> Column:
     """Weight by season: current, previous, older (a missing date counts as older).
 
-    ``current_year`` may be a year or a date text starting with one; without a readable year
-    every row weighs the same as the current season.
+    ``current_year`` may be a whole number, a date, or a text that is or begins with a year
+    (``2024``, ``2024-25``, ``2024-09-01``); without a readable year every row weighs the same as the current season.
     """
     current, previous, older = weights
-    try:
-        year = int(str(current_year).strip().split("-")[0])
-        cuts = [dt.date(y, *start) for y in (year, year - 1)]
-    except ValueError:
+    year = getattr(current_year, "year", current_year)
+    if isinstance(year, str):
+        found = re.match(r"\s*(\d{4})(?!\d)", year)
+        year = int(found.group(1)) if found else None
+    if not isinstance(year, int) or not dt.MINYEAR < year <= dt.MAXYEAR:
         return F.lit(current)
+    cuts = [dt.date(year, *start), dt.date(year - 1, *start)]
     date = as_column(date)
     return F.when(date >= F.lit(cuts[0]), current).when(date >= F.lit(cuts[1]), previous).otherwise(older)
 

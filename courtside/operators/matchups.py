@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from courtside.operators.exact import exact_sums
 from courtside.operators.ordered import Cuts, _names, ordered
 
 
@@ -55,6 +56,20 @@ def suppressor(
     return df.join(own, ent, "left").withColumn(out, F.col(allowed) - F.col("_own")).drop("_own")
 
 
+def state(df: DataFrame, keys: str | Sequence[str], aggs: Mapping[str, str]) -> DataFrame:
+    """Sums ``_s_{out}`` (exact) and counts ``_n_{out}`` of the values ``{out: value}`` per key.
+
+    States of separate days, or of old and new rows, merge by adding up.
+    """
+    counts = {f"_n_{o}": F.when(F.col(v).isNotNull(), 1).otherwise(0) for o, v in aggs.items()}
+    return exact_sums(df, list(_names(keys)), {f"_s_{o}": F.col(v) for o, v in aggs.items()} | counts)
+
+
+def state_means(aggs: Mapping[str, str]) -> dict[str, Column]:
+    """The means that sums and counts of a state stand for."""
+    return {o: F.col(f"_s_{o}") / F.nullif(F.col(f"_n_{o}"), F.lit(0)) for o in aggs}
+
+
 def asof_aggregate(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -67,11 +82,10 @@ def asof_aggregate(
     key's running work is over its days. A row with a missing key gets no mean.
     """
     keys = list(_names(keys))
-    sums = [F.sum(v).alias(f"_s_{o}") for o, v in aggs.items()] + [F.count(v).alias(f"_n_{o}") for o, v in aggs.items()]
     df = df.withColumn("_day", F.col(date).cast("date"))
-    daily = df.groupBy(*keys, "_day").agg(*sums)
-    totals = {f"_ps_{o}": f"_s_{o}" for o in aggs} | {f"_pn_{o}": f"_n_{o}" for o in aggs}
+    daily = state(df, [*keys, "_day"], aggs)
+    sums = [f"_{m}_{o}" for o in aggs for m in "sn"]
     # One row per key and calendar day: no group can be large, so nothing is measured.
-    past = ordered(daily, keys, "_day", Cuts(tuple(keys), ("_day",))).running(totals, include_current=False).done()
-    means = {o: F.col(f"_ps_{o}") / F.nullif(F.col(f"_pn_{o}"), F.lit(0)) for o in aggs}
-    return df.join(past.withColumns(means).select(*keys, "_day", *aggs), [*keys, "_day"], "left").drop("_day")
+    past = ordered(daily.withColumnsRenamed({c: f"_d{c}" for c in sums}), keys, "_day", Cuts(tuple(keys), ("_day",)))
+    past = past.running({c: f"_d{c}" for c in sums}, include_current=False).done()
+    return df.join(past.withColumns(state_means(aggs)).select(*keys, "_day", *aggs), [*keys, "_day"], "left").drop("_day")

@@ -22,15 +22,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from courtside.operators.exact import Split
 from courtside.session import store
 
 #: Largest group a single window task is given.
 MAX_GROUP_ROWS = 4_000_000
-#: Type that fractions are summed in: exact, so the result does not depend on the order of adding.
-EXACT, EXACT_SUM = "decimal(27,12)", "decimal(37,12)"
-
 _PART, _GHOST, _RN, _UNTIL = "_part", "_ghost", "_rn", "_until"
 
 
@@ -144,31 +142,26 @@ class Ordered:
     def running(self, totals: Mapping[str, Column | str], include_current: bool = True) -> "Ordered":
         """Add running sums from the start of the group up to (or just before) each row.
 
-        Fractions are taken to twelve decimal places and summed exactly; one that is not a number or
-        too large for that counts as missing.
+        Doubles are summed exactly, so that cutting a group changes no bit of them (``exact``).
         """
         self = self._stored()
-        frame = self.window.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
         columns = {out: F.col(value) if isinstance(value, str) else value for out, value in totals.items()}
-        types = self.df.select(*[c.alias(out) for out, c in columns.items()]).schema
-        inexact = [f.name for f in types if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-        columns |= {out: columns[out].try_cast(EXACT) for out in inexact}
-        as_double = {out: F.col(out).cast("double") for out in inexact}
-        summed = {out: F.sum(value).over(frame) for out, value in columns.items()}
-        inner = self.df.withColumns(summed)
+        split = Split.of(self.df, columns)
+        done = self._running(split.whole, include_current)
+        return replace(done, df=split.merged(done.df))
+
+    def _running(self, columns: Mapping[str, Column], include_current: bool) -> "Ordered":
+        """Running sums of whole numbers and decimals."""
+        frame = self.window.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
+        inner = self.df.withColumns({out: F.sum(value).over(frame) for out, value in columns.items()})
         if not self.split:
-            return replace(self, df=inner.withColumns(as_double) if inexact else inner)
+            return replace(self, df=inner)
         per_part = self._per_part([F.sum(value).alias(f"_c_{out}") for out, value in columns.items()])
         before = Window.partitionBy(*self.keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-        carry = per_part.withColumns({f"_c_{o}": F.sum(f"_c_{o}").over(before) for o in totals})
+        carry = per_part.withColumns({f"_c_{o}": F.sum(f"_c_{o}").over(before) for o in columns})
         joined = self._attach(inner, carry)
-        # Two sums of this type add up without losing a place.
-        exact = lambda name, out: F.col(name).cast(EXACT_SUM) if out in inexact else F.col(name)
-        merged = {
-            out: F.coalesce(exact(f"_c_{out}", out) + exact(out, out), exact(f"_c_{out}", out), exact(out, out)) for out in totals
-        }
-        done = joined.withColumns(merged).drop(*[f"_c_{o}" for o in totals])
-        return replace(self, df=done.withColumns(as_double) if inexact else done, stored=False)
+        merged = {o: F.coalesce(F.col(f"_c_{o}") + F.col(o), F.col(f"_c_{o}"), F.col(o)) for o in columns}
+        return replace(self, df=joined.withColumns(merged).drop(*[f"_c_{o}" for o in columns]), stored=False)
 
     def fill(self, columns: Mapping[str, str], backward: bool = False) -> "Ordered":
         """Add ``{out: column}`` filled with the last value present so far in the group.

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.functions.cleaning import ratio_zero_one
 from courtside.functions.labels import weighted_sum
-from courtside.operators.ordered import EXACT, MAX_GROUP_ROWS, Cuts, _names, ordered
+from courtside.operators.exact import exact_sums
+from courtside.operators.ordered import MAX_GROUP_ROWS, Cuts, _names, ordered
 
 
 def lag_features(
@@ -141,14 +142,9 @@ def rolling_rate(
 
 
 def global_rate(df: DataFrame, num: str, den: str) -> Column:
-    """Total ``num`` over total ``den`` (at least one) as a scalar subquery; fractions are summed exactly."""
-    exact = {
-        c: F.sum(F.col(c).try_cast(EXACT)).cast("double") if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.sum(c)
-        for c in (num, den)
-    }
-    total = exact[den]
-    rate = exact[num] / F.when(total < 1, F.lit(1)).otherwise(total)
-    return df.agg(rate.alias("rate")).scalar()
+    """Total ``num`` over total ``den`` (at least one) as a scalar subquery; doubles are summed exactly."""
+    sums = exact_sums(df, [], {"_num": F.col(num), "_den": F.col(den)})
+    return sums.select((F.col("_num") / F.when(F.col("_den") < 1, F.lit(1)).otherwise(F.col("_den"))).alias("rate")).scalar()
 
 
 def shrunk_rate(

@@ -6,6 +6,8 @@ meet the box score in joins over one and the same partitioning.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from courtside.functions import (
@@ -134,31 +136,91 @@ def matchup_features(df: DataFrame, box: DataFrame) -> DataFrame:
     return matchups.suppressor(full, "player", "points", "Opp_Allowed_Pos_Avg", base=df)
 
 
-def matchup_features_asof(df: DataFrame) -> DataFrame:
-    """The same columns, each from strictly earlier dates only, so that none knows its own match."""
-    past = matchups.asof_aggregate(df, "player", "date", {f"_p_{c}": c for c in PROFILE})
-    past = past.withColumns(
+#: Names of a player's own means, and of the means by opponent and class with what they are taken of.
+_OWN = {f"_p_{c}": c for c in PROFILE}
+_ALLOWED = {"Opp_Allowed_Pos_Avg": "points", "Opp_Avg_Size": "Size_Index"}
+_SIDES = {out: f"_t_{out}" for _, out in _SIDE_AGGREGATES.values()}
+
+
+def _with_class(df: DataFrame) -> DataFrame:
+    """Position and size by the player's own means."""
+    return df.withColumns(
         {
             "Pos_Est": classify(position_rules("_p_rebounds", "_p_blocks", "_p_assists", "_p_points")),
             "Size_Index": weighted_sum({f"_p_{c}": w for c, w in SIZE_WEIGHTS.items()}),
         }
     )
-    sides = past.groupBy("match_id", "team", "date").agg(
-        *[getattr(F, fn)(c).alias(f"_t_{out}") for c, (fn, out) in _SIDE_AGGREGATES.items()]
-    )
-    outs = [out for _, out in _SIDE_AGGREGATES.values()]
-    sides = matchups.asof_aggregate(sides, "team", "date", {out: f"_t_{out}" for out in outs})
-    sides = sides.select("match_id", F.col("team").alias("opponent"), *outs)
-    full = past.join(sides, ["match_id", "opponent"], "left")
-    full = matchups.asof_aggregate(
-        full, ["opponent", "Pos_Est"], "date", {"Opp_Allowed_Pos_Avg": "points", "Opp_Avg_Size": "Size_Index"}
-    )
-    return full.withColumns(
+
+
+def _with_edges(df: DataFrame) -> DataFrame:
+    """The player against what the opponent allows."""
+    return df.withColumns(
         {
             "Mismatch_Adv": F.col("Size_Index") - F.col("Opp_Avg_Size"),
             "Def_Suppressor": F.col("Opp_Allowed_Pos_Avg") - F.col("_p_points"),
         }
-    ).drop(*[f"_p_{c}" for c in PROFILE])
+    ).drop(*_OWN)
+
+
+def _side_values(df: DataFrame) -> DataFrame:
+    """One row per match and side with its ``_t_`` values."""
+    by = ["match_id", "team", "date"]
+    sums = {out: c for c, (fn, out) in _SIDE_AGGREGATES.items() if fn in ("sum", "avg")}
+    most = {out: c for c, (fn, out) in _SIDE_AGGREGATES.items() if fn == "max"}
+    added = matchups.state(df, by, sums)
+    means = matchups.state_means(sums)
+    values = {out: F.col(f"_s_{out}") if fn == "sum" else means[out] for fn, out in _SIDE_AGGREGATES.values() if out in sums}
+    added = added.select(*by, *[c.alias(f"_t_{out}") for out, c in values.items()])
+    top = df.groupBy(*by).agg(*[F.max(c).alias(f"_t_{out}") for out, c in most.items()])
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
+    return added.join(top.withColumnsRenamed({c: f"_r_{c}" for c in by}), same).drop(*[f"_r_{c}" for c in by])
+
+
+def matchup_features_asof(df: DataFrame) -> DataFrame:
+    """The same columns, each from strictly earlier dates only, so that none knows its own match."""
+    past = _with_class(matchups.asof_aggregate(df, "player", "date", _OWN))
+    sides = matchups.asof_aggregate(_side_values(df), "team", "date", _SIDES)
+    sides = sides.select("match_id", F.col("team").alias("opponent"), *_SIDES)
+    # Measured, summed by day and joined back to: read three times from here.
+    full = store(past.join(sides, ["match_id", "opponent"], "left"))
+    return _with_edges(matchups.asof_aggregate(full, ["opponent", "Pos_Est"], "date", _ALLOWED))
+
+
+@dataclass(frozen=True)
+class MatchupState:
+    """Sums and counts of all that was played, from which the matchup columns of a coming match follow.
+
+    ``players`` is keyed by player, ``sides`` by team, ``classes`` by opponent and position. The tables are
+    as small as the league; stored once, they serve every forecast until the next match is played.
+    """
+
+    players: DataFrame
+    sides: DataFrame
+    classes: DataFrame
+
+    @classmethod
+    def of(cls, df: DataFrame) -> "MatchupState":
+        """State after all rows of ``df``, which are rows of matches with ``ASOF_INPUTS``.
+
+        Classes hold the positions and sizes that the players had when they played, which is what
+        ``matchup_features_asof`` averages.
+        """
+        played = df.where("date IS NOT NULL").select(*dict.fromkeys(("player", *ASOF_INPUTS)))
+        then = _with_class(matchups.asof_aggregate(played, "player", "date", _OWN))
+        return cls(
+            store(matchups.state(played, "player", _OWN)),
+            store(matchups.state(_side_values(played), "team", _SIDES)),
+            store(matchups.state(then, ["opponent", "Pos_Est"], _ALLOWED)),
+        )
+
+    def attach(self, coming: DataFrame) -> DataFrame:
+        """Add ``ASOF_OUTPUTS`` to rows of a coming match, of which player and opponent are known."""
+        coming = coming.drop(*ASOF_OUTPUTS)
+        players = self.players.withColumns(matchups.state_means(_OWN)).select("player", *_OWN)
+        sides = self.sides.withColumns(matchups.state_means(_SIDES)).select(F.col("team").alias("opponent"), *_SIDES)
+        classes = self.classes.withColumns(matchups.state_means(_ALLOWED)).select("opponent", "Pos_Est", *_ALLOWED)
+        full = _with_class(coming.join(players, "player", "left")).join(sides, "opponent", "left")
+        return _with_edges(full.join(classes, ["opponent", "Pos_Est"], "left"))
 
 
 def build_features(

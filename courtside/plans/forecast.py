@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions import edge_rule, normalize_name, over_under
 from courtside.operators.rolling import latest_snapshot
-from courtside.plans.feature_build import ASOF_INPUTS, ASOF_OUTPUTS, matchup_features_asof
+from courtside.plans.feature_build import ASOF_INPUTS, ASOF_OUTPUTS, MatchupState, matchup_features_asof
 from courtside.plans.training import ORDER, PLAYER, TwoStage, recent_features
+from courtside.session import store
 
 _NEXT, _PLAYED = "_next", "_last_played"
 
@@ -17,11 +18,12 @@ _NEXT, _PLAYED = "_next", "_last_played"
 def next_match(
     features: DataFrame, side_a: str, side_b: str, home: bool = True, date: Column | None = None, days: int = 60
 ) -> DataFrame:
-    """The rows that matter for the match of two sides, and one new row per active player of either.
+    """The rows of the players of two sides, and one new row for each that is active: the coming match.
 
     The new rows (``_next`` is true) have the date of the match (by default the day after the newest
     one), the other side as opponent and no statistics; ``_last_played`` is the date of the row that they
-    follow. What has to be known about earlier matches is to be computed over the result.
+    follow. A player's own history is to be computed over the result; what sides and opponents did comes
+    from the whole table (``MatchupState``), most of which is not in it.
     """
     newest = features.agg(F.max("date").alias("newest")).scalar()
     team_a, team_b = (normalize_name(F.lit(side)) for side in (side_a, side_b))
@@ -39,11 +41,8 @@ def next_match(
         F.lit(True).alias(_NEXT),
         F.col("date").alias(_PLAYED),
     )
-    against = F.lit(False)
-    if "opponent" in features.columns:
-        against = F.coalesce(F.col("opponent").isin(side_a, side_b) | (F.col("opponent") == team_a) | (F.col("opponent") == team_b), against)
-    squads = latest.select(PLAYER).distinct().withColumn("_squad", F.lit(True))
-    past = features.join(squads, PLAYER, "left").where(F.col("_squad") | is_a | is_b | against).drop("_squad")
+    squads = latest.select(PLAYER).distinct()
+    past = features.join(squads, PLAYER, "left_semi")
     return past.withColumn(_NEXT, F.lit(False)).unionByName(new, allowMissingColumns=True)
 
 
@@ -57,16 +56,24 @@ def matchup(
     days: int = 60,
     date: Column | None = None,
     prepare: Callable[[DataFrame], DataFrame] = recent_features,
+    state: MatchupState | None = None,
 ) -> DataFrame:
     """Active players of both sides with forecast, gap to form and chance to beat it, best gap first.
 
     ``home`` says whether ``side_a`` plays at home. The teams are matched by normalised name. The
     forecast row of a player comes after the last match played: ``prepare`` computes the history up to and
-    including that match, and the matchup columns are those of the coming opponent.
+    including that match, and the matchup columns are those of the coming opponent, as the whole table of
+    ``features`` gives them: from ``state``, or computed here from all rows before the match.
     """
+    if set(ASOF_INPUTS) <= set(features.columns):
+        if state is None:
+            state = MatchupState.of(features if date is None else features.where(F.col("date").cast("date") < date.cast("date")))
+        if not set(ASOF_OUTPUTS) <= set(features.columns):
+            features = store(matchup_features_asof(features.drop(*ASOF_OUTPUTS)))
     rows = next_match(features, side_a, side_b, home, date, days)
-    if set(ASOF_INPUTS) <= set(rows.columns):
-        rows = matchup_features_asof(rows.drop(*ASOF_OUTPUTS))
+    if state is not None:
+        coming = state.attach(rows.where(_NEXT))
+        rows = rows.where(~F.col(_NEXT)).unionByName(coming, allowMissingColumns=True)
     coming = prepare(rows).where(_NEXT)
     scored = models.predict(coming)
     sigma = F.lit(models.stats["sigma"])

@@ -4,6 +4,8 @@ import contextlib
 import io
 import math
 import re
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -79,6 +81,12 @@ def test_entry(spark):
     assert entry.entry(spark).columns == QUERIES["rolling_mean"](spark, entry.SMOKE_DIR).columns
 
 
+def test_entry_without_a_library_of_the_corpus_queries():
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, capture_output=True, text=True)
+    assert done.stdout.split() == [str(len(QUERIES)), "False"], done.stderr
+
+
 def test_filter_and_columns_reach_the_scan(spark, sf_dir):
     with contextlib.redirect_stdout(io.StringIO()) as printed:
         QUERIES["scan_filter"](spark, sf_dir).explain("formatted")

@@ -1,11 +1,13 @@
 """Split windows must equal plain windows, whatever the group sizes."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from courtside.operators import rolling
+from courtside.operators.exact import Bins, exact_sums
 from courtside.operators.ordered import find_cuts, ordered
 from courtside.operators.tables import fill_along
 from tests.conftest import rows_of
@@ -91,11 +93,53 @@ def test_cutting_changes_no_bit_of_running_totals(spark):
         assert exact(build(100)) == exact(build(10**9))
 
 
-def test_running_totals_of_what_is_no_number(spark):
-    rows = [(1, 1.5), (2, float("nan")), (3, float("inf")), (4, None), (5, 1e300), (6, 2.0), (7, 0.0)]
-    df = spark.createDataFrame([("a", *r) for r in rows], "k string, id int, v double")
-    got = rolling.expanding(df, "k", "id", "v", ("sum",)).orderBy("id").collect()
-    assert [r.Hist_sum_v for r in got] == [None, 1.5, 1.5, 1.5, 1.5, 1.5, 3.5]
+def same(a, b):
+    return (math.isnan(a) and math.isnan(b)) or a == b if None not in (a, b) else a is b
+
+
+@pytest.mark.parametrize("max_rows", [3, 10**9])
+def test_running_totals_of_what_is_no_number(spark, max_rows):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "a": [1.5, nan, inf, None, 1e300, 2.0],
+        "b": [None, 2e15, 3.0, 1e-14, 1e-14, -2e15],
+        "c": [inf, 1.0, -inf, 5.0],
+        "d": [-inf, -1.0, 0.0, -0.0, 5e-324, 7.0],
+        "e": [0.0, None, 0.0],
+    }
+    rows = [(k, i, v) for k, values in groups.items() for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k string, id int, v double")
+    got = {(r.k, r.id): r.Hist_sum_v for r in rolling.expanding(df, "k", "id", "v", ("sum",), max_rows=max_rows).collect()}
+    for k, values in groups.items():
+        for i in range(len(values)):
+            before = [v for v in values[:i] if v is not None]
+            finite = [v for v in before if math.isfinite(v)]
+            # Of infinities and what is no number the plain sum; of the rest the correctly rounded one.
+            want = None if not before else sum(before) if len(finite) < len(before) else math.fsum(before)
+            assert same(got[k, i], want), (k, i, got[k, i], want)
+
+
+def test_sums_of_all_magnitudes(spark):
+    """Cut or not, in any order, bit for bit; and next to the correctly rounded sum."""
+    rng = random.Random(12)
+    rows = [("hot" if rng.random() < 0.6 else f"k{i % 4}", i, rng.choice([-1, 1]) * rng.uniform(1, 2) * 10.0 ** rng.uniform(-300, 300)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, id int, v double")
+    bits = lambda frame: {(r.k, r.id): r.Hist_sum_v for r in frame.collect()}
+    plain = bits(rolling.expanding(df, "k", "id", "v", ("sum",), max_rows=10**9))
+    assert plain == bits(rolling.expanding(df.repartition(7), "k", "id", "v", ("sum",), max_rows=40))
+    for key in {r[0] for r in rows}:
+        values = [(i, v) for k, i, v in rows if k == key]
+        for n, (i, _) in enumerate(values[1:], 1):
+            want = math.fsum(v for _, v in values[:n])
+            assert abs(plain[key, i] - want) <= math.ulp(want)
+    sums = {r.k: r.v for r in exact_sums(df, ["k"], {"v": F.col("v")}).collect()}
+    shuffled = df.orderBy(F.rand(3)).repartition(5)
+    assert sums == {r.k: r.v for r in exact_sums(shuffled, ["k"], {"v": F.col("v")}).collect()}
+
+
+def test_usual_data_need_few_bins():
+    assert len(Bins.between(0.01, 50_000.0).places) <= 4
+    assert Bins.between(None, 0.0).places == (0,)
 
 
 def test_work_without_keys_is_always_cut(hot):

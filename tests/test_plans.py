@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from courtside.catalog import QUERIES, forecasting
 from courtside.operators.event_log import order_events
 from courtside.plans import feature_build, forecast, training
+from courtside.plans.feature_build import ASOF_OUTPUTS, MatchupState, matchup_features_asof
 from courtside.plans.training import Boosting
 from tests.conftest import rows_of
 
@@ -191,6 +192,34 @@ def test_matchup_knows_the_last_match_and_the_coming_opponent(spark):
     assert {r.last_played for r in against["b"].values()} == {dt.date(2024, 1, 12)}
 
 
+def test_forecast_features_are_those_of_the_whole_table(spark):
+    """The state of the league gives what a recomputation over all rows and the coming ones gives."""
+    pick = random.Random(4)
+    rows = []
+    for n in range(24):
+        one, two = pick.sample("abcd", 2)
+        for side in (one, two):
+            for k in pick.sample(range(6), 5):
+                numbers = [pick.randrange(30), *(pick.randrange(12) for _ in range(6)), pick.uniform(0, 2)]
+                rows.append((n, dt.date(2024, 1, 1 + n // 2), side, two if side == one else one, f"{side}{k}", *numbers))
+    names = "points, rebounds, blocks, assists, fouls, Fouls_Drawn, MIN_FL".split(", ")
+    schema = "match_id long, date date, team string, opponent string, player string, " + ", ".join(f"{c} long" for c in names)
+    games = spark.createDataFrame(rows, schema + ", Pace_Est double").withColumn("Synergy_Score", F.col("Pace_Est") / 3)
+    coming = forecast.next_match(games, "a", "b").where("_next")
+    whole = games.withColumn("_next", F.lit(False)).unionByName(coming, allowMissingColumns=True)
+    wanted = matchup_features_asof(whole).where("_next").select("player", *ASOF_OUTPUTS)
+    got = MatchupState.of(games).attach(coming).select("player", *ASOF_OUTPUTS)
+    assert got.count() > 8 and rows_of(got) == rows_of(wanted)
+    # Only matches before the day asked for count.
+    early = F.lit(dt.date(2024, 1, 7))
+    model = type("Size", (), {"stats": {"sigma": 1.0}, "predict": lambda self, df: df.withColumn("points_hat", F.col("Opp_Avg_Size"))})()
+    form = lambda df: df.withColumn("L5_points", F.lit(0.0))
+    before = games.where(F.col("date") < early)
+    now = forecast.matchup(games, model, "a", "b", date=early, prepare=form)
+    then = MatchupState.of(before).attach(forecast.next_match(games, "a", "b", date=early).where("_next"))
+    assert {r.player: r.points_hat for r in now.collect()} == {r.player: r.Opp_Avg_Size for r in then.collect()}
+
+
 def test_same_day_is_not_earlier(spark):
     from courtside.operators.matchups import asof_aggregate
 
