@@ -89,6 +89,13 @@ def presence_mean_split(t: Tables) -> DataFrame:
     return done.withColumn("Synergy_Score", r6("Synergy_Score"))
 
 
+@query("presence_by_interval", PRESENCE_SQL)
+def presence_by_interval(t: Tables) -> DataFrame:
+    """The same by a join of presence intervals with the events that score."""
+    done = event_log.presence_by_interval(_subs(_log(t)), _squad(t), "day", "user_id", ORDER, "score", "change")
+    return done.select("day", "user_id", r6("Synergy_Score").alias("Synergy_Score"))
+
+
 @query(
     "stint_intervals",
     f"""WITH {LOG_SQL}, {SQUAD_SQL},

@@ -129,6 +129,60 @@ def stints(
     return closed.unionByName(still)
 
 
+def interval_join(
+    points: DataFrame, spans: DataFrame, keys: str | Sequence[str], at: str, start: str, end: str, width: int = 64
+) -> DataFrame:
+    """Every point with every span of the same keys that holds it: ``start < at <= end``.
+
+    ``at``, ``start`` and ``end`` are whole numbers. Both sides are cut into bins of ``width``: a point is in one
+    bin, a span in each that it touches, so that the join is one on equal keys and bins, and what a key
+    with many points and spans has to do is spread over its bins. A span is repeated once per
+    ``width`` of its length; choose it near the usual length. Nulls meet nothing; columns other than the keys
+    must have different names on both sides.
+    """
+    keys = list(_names(keys))
+    bin_of = lambda c: F.floor(c / width)
+    placed = points.withColumn("_bin", bin_of(F.col(at)))
+    touched = F.explode(F.sequence(bin_of(F.col(start) + 1), bin_of(F.col(end))))
+    cut = spans.where(F.col(start) < F.col(end)).withColumn("_bin", touched)
+    return placed.join(cut, [*keys, "_bin"]).where((F.col(at) > F.col(start)) & (F.col(at) <= F.col(end))).drop("_bin")
+
+
+def presence_by_interval(
+    events: DataFrame,
+    roster: DataFrame,
+    grp: str,
+    ent: str,
+    ord: str | Sequence[str],
+    score: str,
+    change: str,
+    starter: str = "starter",
+    out: str = "Synergy_Score",
+    width: int = 64,
+    cuts: Cuts | None = None,
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """What ``presence_mean`` gives, from an interval join of stints with the events that score.
+
+    Each scoring event meets everyone present, so this costs their number times more; it also
+    gives the pairs themselves, which totals over stints cannot (``interval_join`` over ``stints``).
+    """
+    ord = _names(ord)
+    work = ordered(events.select(grp, ent, *ord, score, change), grp, ord, cuts, max_rows).fill({"_total": score})
+    known, before = F.coalesce("_total", F.lit(0)), lambda w: F.coalesce(F.lag("_total").over(w), F.lit(0))
+    work = work.rows(lambda w: {"_diff": known - before(w)}, back=1).running({"_at": F.lit(1)})
+    # Read for the stints, the ends of matches and the scoring events.
+    log = store(work.done().select(grp, ent, "_at", "_diff", change))
+    ends = log.groupBy(grp).agg(F.max("_at").alias("_end"))
+    spans = stints(log, roster, grp, ent, "_at", change, starter, max_rows).join(ends, grp)
+    spans = spans.select(grp, ent, F.coalesce("came", F.lit(0)).alias("came"), F.coalesce("left", "_end").alias("left"))
+    scoring = log.where("_diff <> 0").select(grp, "_at", "_diff")
+    held = interval_join(scoring, spans, grp, "_at", "came", "left", width)
+    means = held.groupBy(grp, ent).agg(F.avg("_diff").alias("_mean"))
+    squad = roster.select(grp, ent).distinct()
+    return squad.join(means, [grp, ent], "left").select(grp, ent, F.coalesce("_mean", F.lit(0.0)).alias(out))
+
+
 def next_actor_count(
     df: DataFrame,
     grp: str,

@@ -128,3 +128,36 @@ def test_counts_and_pivot(spark):
     got = event_log.activity_pivot(df, ["match_id", "player"], "period", scoring, (1, 2, 3, 4, 5)).collect()
     table = {(r.match_id, r.player): [r[f"Q{p}_Activity"] for p in (1, 2, 3, 4, 5)] for r in got}
     assert table == {(1, "a"): [2, 1, 0, 0, 0], (1, "b"): [0, 0, 0, 0, 1], (2, "a"): [0, 0, 1, 0, 0]}
+
+
+@pytest.mark.parametrize("max_rows, width", [(10**6, 64), (70, 3)])
+def test_presence_by_interval(logs, max_rows, width):
+    rows, squads, events, roster = logs
+    got = event_log.presence_by_interval(
+        events, roster, "match_id", "player", event_log.EVENT_ORDER, "score", "change", width=width, max_rows=max_rows
+    ).collect()
+    want = walk_presence(rows, squads)
+    assert len(got) == len(want)
+    assert all(abs(r.Synergy_Score - want[r.match_id, r.player]) < 1e-9 for r in got)
+
+
+@pytest.mark.parametrize("width", [1, 5, 1000])
+def test_interval_join_against_all_pairs(spark, width):
+    rng = random.Random(width)
+    points = [(rng.choice(["a", "b", None]), rng.choice([None, *range(-20, 80)]), i) for i in range(150)]
+    spans = []
+    for i in range(60):
+        start, length = rng.randrange(-25, 80), rng.choice([-3, 0, 1, 7, 40])
+        spans.append((rng.choice(["a", "b", None]), rng.choice([start, start, None]), start + length, i))
+    got = event_log.interval_join(
+        spark.createDataFrame(points, "k string, at long, point int"),
+        spark.createDataFrame(spans, "k string, came long, gone long, span int"),
+        "k", "at", "came", "gone", width,
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    want = [
+        (p, s) for k, at, p in points for key, came, gone, s in spans
+        if k is not None and k == key and at is not None and came is not None and came < at <= gone
+    ]
+    assert want and sorted((r.point, r.span) for r in got.collect()) == sorted(want)
