@@ -36,7 +36,7 @@ from courtside.session import ensure_checkpoint_dir, store
 #: Bytes of a repeated string and of the grams that anchor it.
 SPAN, GRAM = 200, 50
 #: Bytes of documents in a block, and of suffixes that one merging task is meant to get.
-BLOCK_BYTES, RUN_BYTES = 2_000_000, 4_000_000
+BLOCK_BYTES, RUN_BYTES = 1_000_000, 4_000_000
 #: An anchor gram that occurs more often is spread by its windows.
 HOT = 5_000
 #: Text bytes of a bucket of blocks, and fewest and most buckets.
@@ -62,12 +62,13 @@ def blocks(docs: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
         first, made = TaskContext.get().partitionId() << 32, 0
         parts: list[pa.RecordBatch] = []
         size = 0
-        for batch in slices(batches, 100):
-            parts.append(batch)
-            size += batch.column(len(keep)).nbytes
-            if size >= BLOCK_BYTES:
+        for batch in slices(batches, 20):
+            more = batch.column(len(keep)).nbytes
+            if parts and size + more > BLOCK_BYTES:
                 yield _block(parts, keep, first + made)
                 parts, size, made = [], 0, made + 1
+            parts.append(batch)
+            size += more
         if parts:
             yield _block(parts, keep, first + made)
 
@@ -433,7 +434,8 @@ def remove_repeats(
             {"block": pa.array(block, pa.int64()), "units": pa.array(units, pa.binary()), "bits": pa.array(bits, pa.binary())}
         )
 
-    with_grams = laid.select("block", "data", "lengths").join(wanted.hint("merge"), "block")
+    # Hashing what is small per bucket streams the blocks past it; a merge would sort rows of a megabyte.
+    with_grams = laid.select("block", "data", "lengths").join(wanted.hint("shuffle_hash"), "block")
     runs = with_grams.mapInArrow(make_runs, "part int, block long, run binary")
     judged = store(runs.groupBy("part").applyInArrow(judge, "block long, units binary, bits binary"))
     marked = judged.groupBy("block").agg(F.collect_list("units").alias("units"), F.collect_list("bits").alias("bits"))
@@ -468,7 +470,7 @@ def remove_repeats(
             )
 
     kinds = [f"{k} {laid.schema[k].dataType.elementType.simpleString()}" for k in keep]
-    whole = laid.join(wanted.hint("merge"), "block", "left").join(marked.hint("merge"), "block", "left")
+    whole = laid.join(wanted.hint("shuffle_hash"), "block", "left").join(marked.hint("shuffle_hash"), "block", "left")
     done = whole.mapInArrow(cut, ", ".join([*kinds, "n_bytes long", "spans array<int>", "kept binary"]))
     return done.withColumnsRenamed(dict(zip(keep, columns)))
 

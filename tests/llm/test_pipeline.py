@@ -92,8 +92,11 @@ def test_stages_take_awkward_rows(spark, sf_dir, odd_rows):
     rows = [(i, t, "en", None, None if t is None else len(t)) for i, t in odd_rows] + [(2, "other text", None, "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     near = store(corpus_pipeline.drop_near_copies(spark, docs, sf_dir))
-    ids = [r.doc_id for r in near.collect() if r.doc_id is not None]
-    assert len(ids) == len(set(ids)) and {7, 8}.isdisjoint(ids) and {1, 2, 6, 9} <= set(ids)
+    kept = near.where("doc_id IS NOT NULL").select("doc_id", "text").collect()
+    ids = [r.doc_id for r in kept]
+    # Both texts of one id stay, as neither is a near copy of the other.
+    assert len(kept) == len(set(kept)) and {7, 8}.isdisjoint(ids) and {1, 6, 9} <= set(ids)
+    assert sorted(r.text for r in kept if r.doc_id == 2) == ["", "other text"]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() > 0
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
@@ -101,6 +104,16 @@ def test_stages_take_awkward_rows(spark, sf_dir, odd_rows):
     assert cut.count() == len(rows) and cut.where("n_chars <> length(text)").isEmpty()
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark, sf_dir):
+    one, other = " ".join(f"word{i}" for i in range(60)), " ".join(f"term{i}" for i in range(60))
+    rows = [(7, one), (7, None), (8, other), (9, other + " more"), (9, one), (9, one), (5, None), (5, None), (None, one)]
+    docs = spark.createDataFrame([(i, t, None, None, 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()]
+    texts = [t for i, t in kept if i is not None]
+    assert (7, None) in kept and texts.count(one) == 1 and (8, other) in kept and (9, other + " more") not in kept
+    assert kept.count((5, None)) == 1 and (None, one) in kept and len(kept) == 5
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_equals_sql(spark, sf_dir, name):
     db = duckdb.connect()
