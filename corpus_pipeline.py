@@ -25,18 +25,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, four fifths of them shared.
+    """One row of each group of near copies: five-word shingles, four fifths of them shared.
 
-    Rows that share an id are versions of one document, of which the one with the smallest text stays.
+    A row is judged by its own text, also where rows share an id: those get a key of their own from what
+    they hold, beyond all ids (which are expected below 2^62), and rows that are equal throughout are
+    one. Rows without an id or without words stay.
     """
     tune(spark)
-    found = minhash.near_duplicates(docs, width=5, percent=80).where("kept AND doc_id IS NOT NULL")
-    ids = store(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
-    once = docs.join(ids.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    again = docs.join(ids.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row")).select("doc_id", "row.*")
-    return once.unionByName(least).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    once = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    again = store(once.where("rows > 1").select("doc_id", F.lit(True).alias("_again")))
+    content = F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 61)) + F.lit(1 << 62)
+    keyed = docs.join(again, "doc_id", "left").withColumn("_key", F.when(F.col("_again"), content).otherwise(F.col("doc_id")))
+    found = minhash.near_duplicates(keyed.select("_key", "text"), width=5, percent=80, id_col="_key")
+    keys = store(found.where("kept AND _key IS NOT NULL").select("_key").distinct())
+    kept = keyed.join(keys, "_key", "left_semi")
+    versions = kept.where("_again").select(*docs.columns).dropDuplicates()
+    return kept.where("_again IS NULL").select(*docs.columns).unionByName(versions).unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
