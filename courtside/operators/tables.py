@@ -57,6 +57,17 @@ def fill_along(
     return filled.dropna(subset=list(columns)) if drop_missing else filled
 
 
+def fill_dates(df: DataFrame, date: str = "date", order: str = "seq", max_rows: int | None = None) -> DataFrame:
+    """Give rows without a date that of the row before them in file order, leading rows that of the first dated one.
+
+    A table without either column, or without undated rows, is left as it is; that costs one look at
+    the date column. Rows stay undated where no row has a date.
+    """
+    if date not in df.columns or order not in df.columns or df.where(F.col(date).isNull()).isEmpty():
+        return df
+    return fill_along(df, date, order, drop_missing=False, max_rows=max_rows)
+
+
 def fill_numeric(df: DataFrame, value: float = 0, columns: Sequence[str] | None = None) -> DataFrame:
     """Replace null and NaN in numeric columns."""
     numeric = [

@@ -26,7 +26,7 @@ from courtside.operators.boxstats import side_totals
 from courtside.operators.ordered import MAX_GROUP_ROWS, find_cuts
 from courtside.operators.rolling import days_since_prev
 from courtside.operators.shots import rate_by
-from courtside.operators.tables import fill_numeric
+from courtside.operators.tables import fill_dates, fill_numeric
 from courtside.session import store
 
 KEYS = ["match_id", "player"]
@@ -235,8 +235,10 @@ def build_features(
     """One row per box-score row with all features; missing numbers are 0.
 
     With ``as_of`` the matchup columns use earlier dates only; train on those. Without it they
-    are means over the whole period, which suits description but leaks into training.
+    are means over the whole period, which suits description but leaks into training. Rows without a
+    date get one from their neighbours in ``seq``, where the box score carries that.
     """
+    box = fill_dates(box, max_rows=max_rows)
     df = matchups.opponent_map(context_features(box, max_rows), "match_id", "team")
     weight = season_weight("date", current_season) if "date" in box.columns else F.lit(1.0)
     df = df.withColumn("Season_Weight", weight)

@@ -32,7 +32,7 @@ from courtside.operators.evaluation import (
 )
 from courtside.operators.ordered import MAX_GROUP_ROWS, find_cuts
 from courtside.operators.rolling import blend, difference, expanding, history_features, shrunk_rate
-from courtside.operators.tables import fill_along, fill_numeric, with_defaults
+from courtside.operators.tables import fill_dates, fill_along, fill_numeric, with_defaults
 from courtside.session import ensure_checkpoint_dir, store
 
 PLAYER, ORDER = "player", ("date", "match_id")
@@ -101,10 +101,10 @@ def recent_features(
 ) -> DataFrame:
     """Recent-form features: last, last 5 and last 10 matches of every metric.
 
-    Rows without a date are dropped; give ``row_order`` to fill dates from neighbouring rows first.
+    Rows without a date get one from their neighbours first, by ``row_order`` or else by the file order
+    ``seq`` that a season read from files carries; rows that are still without one are dropped.
     """
-    if row_order is not None:
-        df = fill_along(df, "date", row_order)
+    df = fill_along(df, "date", row_order) if row_order is not None else fill_dates(df)
     df = df.where("date is not null")
     df = _with_position_code(df).withColumn("Raw_PPM", ratio_zero_one("points", "MIN_FL"))
     df = with_defaults(df, {"Season_Weight": 1.0, "fouls": 0} | {m: 0 for m in ROLLED_METRICS})

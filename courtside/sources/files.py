@@ -29,7 +29,7 @@ SHOT_SCHEMA = (
 )
 
 #: Type of ``seq``.
-_SEQ = "struct<block:bigint,row:bigint>"
+_SEQ = "struct<file:bigint,block:bigint,row:bigint>"
 
 
 def read_delimited(
@@ -122,10 +122,14 @@ def pbp_table(raw: DataFrame) -> DataFrame:
 def with_file_order(read: DataFrame) -> DataFrame:
     """Add ``seq``, which orders the rows of each file as they stand in it.
 
-    A large file is read in blocks by several tasks: the block's offset comes first, then the
-    row's place within its task.
+    Rows of one file stand together, in any order of the files. A large file is read in blocks by
+    several tasks: the block's offset comes first, then the row's place within its task.
     """
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    place = F.struct(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     return read.withColumn("seq", place)
 
 
@@ -134,9 +138,12 @@ def shot_table(raw: DataFrame) -> DataFrame:
 
 
 def read_season(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The box, play-by-play and shot tables found under ``root``, ready for feature building."""
+    """The box, play-by-play and shot tables found under ``root``, ready for feature building.
+
+    Box and play-by-play carry ``seq``, their file order, by which undated rows are dated later.
+    """
     return (
-        box_table(read_delimited(spark, root, "*box_score*.csv", BOX_SCHEMA)),
+        box_table(read_delimited(spark, root, "*box_score*.csv", BOX_SCHEMA, file_order=True)),
         pbp_table(read_delimited(spark, root, "*pbp*.csv", PBP_SCHEMA, file_order=True)),
         shot_table(read_delimited(spark, root, "*shots*.csv", SHOT_SCHEMA)),
     )

@@ -11,6 +11,7 @@ from courtside.operators.event_log import order_events
 from courtside.plans import feature_build, forecast, training
 from courtside.plans.feature_build import ASOF_OUTPUTS, MatchupState, matchup_features_asof
 from courtside.plans.training import Boosting
+from courtside.sources.files import read_season
 from tests.conftest import rows_of
 
 TEAMS = [f"t{i}" for i in range(6)]
@@ -220,6 +221,23 @@ def test_forecast_features_are_those_of_the_whole_table(spark):
     assert {r.player: r.points_hat for r in now.collect()} == {r.player: r.Opp_Avg_Size for r in then.collect()}
 
 
+def test_undated_rows_of_files_are_dated_and_trained_on(spark, tmp_path):
+    head = "match_id;date;team;player;starter;minutes;points;rebounds;assists;fouls;turnovers;steals;blocks;plus_minus;efficiency"
+    line = lambda m, date, side, k: f"{m};{date};{side};{side}{k};1;20:00;{m + k};1;2;1;0;0;0;3;4"
+    for name, first, dates in (("a", 1, ["", "2024-01-02", "", "2024-01-09"]), ("b", 11, ["2024-02-01", "soon", ""])):
+        lines = [line(first + n, d, side, k) for n, d in enumerate(dates) for side in "xy" for k in range(2)]
+        (tmp_path / f"{name}_box_score.csv").write_text("\n".join([head, *lines]) + "\n")
+    box, *_ = read_season(spark, str(tmp_path))
+    features = feature_build.build_features(box, current_season=2024, as_of=True)
+    days = {r.match_id: str(r.date) for r in training.recent_features(features).select("match_id", "date").distinct().collect()}
+    # The rows before the first date of whichever file comes first take that date.
+    assert days.pop(1) in ("2024-01-02", "2024-02-01")
+    assert days == {
+        2: "2024-01-02", 3: "2024-01-02", 4: "2024-01-09", 11: "2024-02-01", 12: "2024-02-01", 13: "2024-02-01",
+    }
+    assert features.count() == 28 and features.where("date IS NULL").isEmpty()
+
+
 def test_same_day_is_not_earlier(spark):
     from courtside.operators.matchups import asof_aggregate
 
