@@ -17,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ from courtside.session import store
 PRICED, CLASSES, ROUNDS = 256, 64, 1000
 #: Rates at which weights fall with coverage, and by how much a configuration may be emptier than the mean.
 FALL, SLACK, WASTE = (1.0, 4.0, 30.0), 2.0, 8
-#: Words a worker remembers in a generation, and the longest that it remembers.
-CACHE_ENTRIES, CACHE_BYTES = 500_000, 64
+#: Words a worker remembers in a generation, those it keeps between tasks, and the longest that it remembers.
+CACHE_ENTRIES, KEPT_ENTRIES, CACHE_BYTES = 500_000, 100_000, 64
 #: Signs that may stand between words in the tokenizer, and words that go through it at a time.
 BORDERS, JOINED = "§¶¤¬|", 1000
 
@@ -40,8 +41,9 @@ class Words:
     """Token ids of texts, word by word: the vocabulary drops white space and never joins over it.
 
     New words go through the tokenizer many at a time, with a sign between them that is one token and
-    is in none of them. What the last words were is remembered in two generations, for one task. A text
-    that holds an added token of the vocabulary, which is one id wherever it stands, is encoded whole.
+    is in none of them. What the last words were is remembered in two generations, and a part of the
+    newer one, the words that came first, goes over to the next task. A text that holds an added token of
+    the vocabulary, which is one id wherever it stands, is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -62,8 +64,9 @@ class Words:
         """Ids of words of which none has the border sign."""
         if not words:
             return []
-        whole = self.tokenizer.encode(f" {self.border} ".join(words), add_special_tokens=False).ids
-        ids = np.array(whole, "<u4")
+        # The fast call leaves out where in the text the tokens stand.
+        whole = self.tokenizer.encode_batch_fast([f" {self.border} ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, "<u4")
         at = np.flatnonzero(ids == self.border_id)
         data, starts, stops = ids.tobytes(), [0, *((at + 1) * 4).tolist()], [*(at * 4).tolist(), 4 * len(ids)]
         return [data[a:b] for a, b in zip(starts, stops)]
@@ -76,7 +79,7 @@ class Words:
         if len(self.cache) > CACHE_ENTRIES:
             self.cache, self.older = {}, self.cache
         cache = self.cache
-        unknown = self._unknown({w for words in split for w in words if w not in cache})
+        unknown = self._unknown(set(chain.from_iterable(split)).difference(cache))
         parts = {w: _parts(w) for w in unknown}
         new = self._unknown({p for w, both in parts.items() if len(both) > 1 for p in both if p not in cache})
         new += [w for w, both in parts.items() if len(both) == 1]
@@ -102,8 +105,8 @@ class Words:
         return out
 
     def forget(self) -> None:
-        """Release the words, as the worker may go on with other work."""
-        self.cache, self.older = {}, {}
+        """Release most words, as the worker may go on with other work; frequent ones tend to come first."""
+        self.cache, self.older = dict(islice(self.cache.items(), KEPT_ENTRIES)), {}
 
     def _unknown(self, words: set[bytes]) -> list[bytes]:
         """The words that are remembered in neither generation; those of the older one are kept."""
