@@ -148,6 +148,38 @@ def interval_join(
     return placed.join(cut, [*keys, "_bin"]).where((F.col(at) > F.col(start)) & (F.col(at) <= F.col(end))).drop("_bin")
 
 
+def interval_sums(
+    points: DataFrame,
+    spans: DataFrame,
+    keys: str | Sequence[str],
+    at: str,
+    start: str,
+    end: str,
+    sums: Mapping[str, Column],
+    by: Sequence[str],
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Sums over what ``interval_join`` pairs, per ``keys`` and the columns ``by`` of the spans.
+
+    ``sums`` are whole numbers of the points. A span's sum is the running total at its end less
+    that at its start: points and ends of spans are put in one order, so nothing is paired and the
+    work grows with the rows of both sides, however long the spans are. Keys or places that are null
+    meet nothing; a group whose spans hold no point has sums of 0.
+    """
+    keys, by = list(_names(keys)), list(by)
+    known = lambda df, *columns: df.dropna(subset=[*keys, *columns])
+    placed = known(points, at).select(*keys, F.col(at).cast("bigint").alias("_place"), *[c.alias(o) for o, c in sums.items()])
+    closed = known(spans, start, end).where(F.col(start) < F.col(end))
+    ends = F.array(*[F.struct(F.col(c).cast("bigint").alias("_place"), F.lit(s).alias("_sign")) for c, s in ((start, -1), (end, 1))])
+    marks = closed.select(*keys, *by, F.inline(ends))
+    # At equal places points come first: a span holds the points at its end, not those at its start.
+    rows = placed.withColumn("_sign", F.lit(0)).unionByName(marks, allowMissingColumns=True)
+    rows = store(rows.withColumn("_mark", F.abs("_sign")))
+    totals = ordered(rows, keys, ("_place", "_mark"), max_rows=max_rows).running({f"_to_{o}": o for o in sums}).done()
+    kept = totals.where("_sign <> 0").groupBy(*keys, *by)
+    return kept.agg(*[F.coalesce(F.sum(F.col("_sign") * F.col(f"_to_{o}")), F.lit(0)).alias(o) for o in sums])
+
+
 def presence_by_interval(
     events: DataFrame,
     roster: DataFrame,
@@ -158,14 +190,15 @@ def presence_by_interval(
     change: str,
     starter: str = "starter",
     out: str = "Synergy_Score",
-    width: int = 64,
+    width: int | None = None,
     cuts: Cuts | None = None,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """What ``presence_mean`` gives, from an interval join of stints with the events that score.
+    """What ``presence_mean`` gives, from sums of the scoring events inside each stint.
 
-    Each scoring event meets everyone present, so this costs their number times more; it also
-    gives the pairs themselves, which totals over stints cannot (``interval_join`` over ``stints``).
+    No event meets those present, so the work grows with events and stints, not with their pairs
+    (``interval_sums``); the pairs themselves are ``interval_join`` over ``stints``. ``width`` was that of
+    the bins of the join and has no effect.
     """
     ord = _names(ord)
     work = ordered(events.select(grp, ent, *ord, score, change), grp, ord, cuts, max_rows).fill({"_total": score})
@@ -177,8 +210,8 @@ def presence_by_interval(
     spans = stints(log, roster, grp, ent, "_at", change, starter, max_rows).join(ends, grp)
     spans = spans.select(grp, ent, F.coalesce("came", F.lit(0)).alias("came"), F.coalesce("left", "_end").alias("left"))
     scoring = log.where("_diff <> 0").select(grp, "_at", "_diff")
-    held = interval_join(scoring, spans, grp, "_at", "came", "left", width)
-    means = held.groupBy(grp, ent).agg(F.avg("_diff").alias("_mean"))
+    held = interval_sums(scoring, spans, grp, "_at", "came", "left", {"_sum": F.col("_diff"), "_n": F.lit(1)}, (ent,), max_rows)
+    means = held.where("_n > 0").select(grp, ent, (F.col("_sum") / F.col("_n")).alias("_mean"))
     squad = roster.select(grp, ent).distinct()
     return squad.join(means, [grp, ent], "left").select(grp, ent, F.coalesce("_mean", F.lit(0.0)).alias(out))
 
