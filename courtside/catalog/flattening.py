@@ -13,24 +13,38 @@ from courtside.functions import efficiency, html_text, labelled_date, link_id
 from courtside.functions.names import WHITESPACE
 from courtside.sources import documents
 
-_PLAYER = """named_struct('pno', IF(p = 2, NULL, p), 'name', IF(p = 2, '', 'Žán'),
-  'sName', IF(p = 2, '', concat('N', o_custkey % 7, '-', t)), 'scoreboardName', concat(' SB ', o_orderkey % 5),
-  'shirtNumber', concat(p, ''), 'starter', p % 2, 'sMinutes', concat(o_orderkey % 40, ':30'),
-  'sPoints', (o_orderkey * p + t) % 30, 'sReboundsTotal', (o_custkey + p) % 12,
-  'sAssists', IF(p = 3, NULL, (o_orderkey + t) % 9), 'sSteals', p, 'sBlocks', t, 'sTurnovers', o_custkey % 5,
-  'sFoulsPersonal', IF(p = 1, NULL, 2), 'sPlusMinusPoints', o_orderkey % 21 - 10,
-  'sFieldGoalsAttempted', 9 + t, 'sFieldGoalsMade', o_orderkey % 9,
+def _player(t: int, p: int) -> str:
+    return f"""named_struct('pno', IF({p} = 2, NULL, {p}), 'name', IF({p} = 2, '', 'Žán'),
+  'sName', IF({p} = 2, '', concat('N', o_custkey % 7, '-{t}')), 'scoreboardName', concat(' SB ', o_orderkey % 5),
+  'shirtNumber', '{p}', 'starter', {p % 2}, 'sMinutes', concat(o_orderkey % 40, ':30'),
+  'sPoints', (o_orderkey * {p} + {t}) % 30, 'sReboundsTotal', (o_custkey + {p}) % 12,
+  'sAssists', IF({p} = 3, NULL, (o_orderkey + {t}) % 9), 'sSteals', {p}, 'sBlocks', {t}, 'sTurnovers', o_custkey % 5,
+  'sFoulsPersonal', IF({p} = 1, NULL, 2), 'sPlusMinusPoints', o_orderkey % 21 - 10,
+  'sFieldGoalsAttempted', {9 + t}, 'sFieldGoalsMade', o_orderkey % 9,
   'sFreeThrowsAttempted', 4, 'sFreeThrowsMade', o_custkey % 4)"""
-_SHOT = """named_struct('pno', IF(s = 3, NULL, s), 'person', concat('Gúest ', t), 'actionType', IF(s = 2, '3PT', '2pt'),
-  'subType', 'JumpShot', 'x', (o_orderkey * s) % 101, 'y', (o_custkey * s + t) % 101, 'r', (o_orderkey + s) % 2,
-  'per', s, 'actionNumber', s + t)"""
-_TEAM = f"""named_struct('name', concat(o_orderpriority, ' É', t), 'pl', map_from_arrays(array('1', '2', '3'),
-  transform(array(1, 2, 3), p -> {_PLAYER})), 'shot', transform(array(1, 2, 3), s -> {_SHOT}))"""
-_EVENT = """named_struct('tno', IF(e = 4, NULL, e % 2 + 1), 'pno', e % 4 + 1, 'actionNumber', (e + o_orderkey % 3) % 4,
-  'clock', concat('0', e, ':', o_orderkey % 60), 'period', e % 4 + 1, 'gt', concat(e, ''), 'actionType', 'Substitution',
-  'subType', IF(e % 2 = 0, 'in', 'OUT'), 'success', e % 2, 's1', e * 2, 's2', e)"""
-_DOCUMENT = f"""to_json(named_struct('tm', map_from_arrays(array('1', '2', 'x'), transform(array(1, 2, 3), t -> {_TEAM})),
-  'pbp', transform(sequence(0, 6), e -> {_EVENT})))"""
+
+
+def _shot(t: int, s: int) -> str:
+    return f"""named_struct('pno', IF({s} = 3, NULL, {s}), 'person', 'Gúest {t}', 'actionType', IF({s} = 2, '3PT', '2pt'),
+  'subType', 'JumpShot', 'x', (o_orderkey * {s}) % 101, 'y', (o_custkey * {s} + {t}) % 101, 'r', (o_orderkey + {s}) % 2,
+  'per', {s}, 'actionNumber', {s + t})"""
+
+
+def _team(t: int) -> str:
+    players = ", ".join(f"'{p}', {_player(t, p)}" for p in (1, 2, 3))
+    shots = ", ".join(_shot(t, s) for s in (1, 2, 3))
+    return f"named_struct('name', concat(o_orderpriority, ' É{t}'), 'pl', map({players}), 'shot', array({shots}))"
+
+
+def _event(e: int) -> str:
+    return f"""named_struct('tno', IF({e} = 4, NULL, {e % 2 + 1}), 'pno', {e % 4 + 1}, 'actionNumber', ({e} + o_orderkey % 3) % 4,
+  'clock', concat('0{e}:', o_orderkey % 60), 'period', {e % 4 + 1}, 'gt', '{e}', 'actionType', 'Substitution',
+  'subType', IF({e} % 2 = 0, 'in', 'OUT'), 'success', {e % 2}, 's1', {e * 2}, 's2', {e})"""
+
+
+# Written out in full, as fields of lambdas are not compiled.
+_DOCUMENT = f"""to_json(named_struct('tm', map('1', {_team(1)}, '2', {_team(2)}, 'x', {_team(3)}),
+  'pbp', array({", ".join(map(_event, range(7)))})))"""
 
 
 def raw_documents(t: Tables) -> DataFrame:
@@ -39,8 +53,8 @@ def raw_documents(t: Tables) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("match_id"), F.expr(_DOCUMENT).alias("json"))
 
 
-def _parsed(t: Tables) -> DataFrame:
-    return documents.parse_documents(raw_documents(t))
+def _parsed(t: Tables, part: str) -> DataFrame:
+    return documents.parse_documents(raw_documents(t), part=part, typed_first=True)
 
 
 # A player's name by team t and number p, as the flattened rows should show it.
@@ -54,7 +68,7 @@ _TEAM_NAME = "concat(lower(o_orderpriority), ' e', t)"
         FROM orders, range(1, 3) AS a(t), range(1, 4) AS b(p)""",
 )
 def json_explode(t: Tables) -> DataFrame:
-    return documents.player_dim(_parsed(t))
+    return documents.player_dim(_parsed(t, documents.PLAYERS_PART))
 
 
 @query(
@@ -66,7 +80,7 @@ def json_explode(t: Tables) -> DataFrame:
         FROM (SELECT *, e % 2 + 1 AS t, e % 4 + 1 AS p FROM orders, range(0, 7) AS a(e))""",
 )
 def explode_lookup(t: Tables) -> DataFrame:
-    return documents.pbp_rows(_parsed(t)).select("match_id", "seq", "clock", "team", "player", "sub_type")
+    return documents.pbp_rows(_parsed(t, documents.EVENTS_PART)).select("match_id", "seq", "clock", "team", "player", "sub_type")
 
 
 _SHOTS_SQL = """FROM (SELECT *, s AS p FROM orders, range(1, 3) AS a(t), range(1, 4) AS b(s)) sh"""
@@ -79,7 +93,7 @@ _SHOTS_SQL = """FROM (SELECT *, s AS p FROM orders, range(1, 3) AS a(t), range(1
            WHERE (e + o_orderkey % 3) % 4 = s + t HAVING max(e) IS NOT NULL) AS time {_SHOTS_SQL}""",
 )
 def last_value_map(t: Tables) -> DataFrame:
-    return documents.shot_rows(_parsed(t)).select("match_id", "period", "time")
+    return documents.shot_rows(_parsed(t, documents.SHOTS_PART)).select("match_id", "period", "time")
 
 
 @query(
@@ -92,7 +106,7 @@ def last_value_map(t: Tables) -> DataFrame:
 )
 def shot_rows(t: Tables) -> DataFrame:
     columns = ["match_id", "team", "player", "action", "sub_type", "x", "y", "result"]
-    return documents.shot_rows(_parsed(t)).select(*columns)
+    return documents.shot_rows(_parsed(t, documents.SHOTS_PART)).select(*columns)
 
 
 @query(
@@ -111,7 +125,7 @@ def box_rows(t: Tables) -> DataFrame:
         "match_id", "team", "player", "jersey", "starter", "minutes", "points", "rebounds", "assists", "fouls",
         "plus_minus", "efficiency",
     ]
-    return documents.box_rows(_parsed(t)).select(*columns)
+    return documents.box_rows(_parsed(t, documents.BOX_PART)).select(*columns)
 
 
 @query(

@@ -22,14 +22,19 @@ WHITESPACE = (
 )
 
 
-@lru_cache(maxsize=1)
-def _tables() -> tuple[str, str, dict[int, tuple[str, list[str]]]]:
+#: Names of usual European letters are folded by the part of the tables below this code point: the whole
+#: tables hold thousands of characters and are compared and looked up at a cost per name.
+LATIN_END = 0x250
+
+
+@lru_cache(maxsize=2)
+def _tables(end: int = 0x110000) -> tuple[str, str, dict[int, tuple[str, list[str]]]]:
     """(from, to) for one-to-one folds, and by length the characters that fold to several.
 
     The latter map a length to its characters and, per position, what each of them has there.
     """
     single_from, single_to, dropped, expanding = [], [], [], {}
-    for code in range(0x80, 0x110000):
+    for code in range(0x80, end):
         if 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
@@ -54,7 +59,16 @@ def _tables() -> tuple[str, str, dict[int, tuple[str, list[str]]]]:
 def normalize_name(text: ColumnLike) -> Column:
     """Fold a name to plain lower case without accents; a missing name stays missing."""
     text = as_column(text)
-    single_from, single_to, by_length = _tables()
+    folded = (
+        F.when(text.rlike(f"[^\\x00-\\u{LATIN_END - 1:04x}]"), _folded(text, _tables()))
+        .when(text.rlike("[^\\x00-\\x7f]"), _folded(text, _tables(LATIN_END)))
+        .otherwise(text)
+    )
+    return F.btrim(F.lower(folded), F.lit(WHITESPACE))
+
+
+def _folded(text: Column, tables: tuple[str, str, dict[int, tuple[str, list[str]]]]) -> Column:
+    single_from, single_to, by_length = tables
     expanding = "".join(chars for chars, _ in by_length.values())
 
     def expand(char: Column) -> Column:
@@ -68,5 +82,4 @@ def normalize_name(text: ColumnLike) -> Column:
         F.length(F.translate(text, expanding, "")) < F.length(text),
         F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), expand), ""),
     ).otherwise(text)
-    folded = F.when(text.rlike("[^\\x00-\\x7f]"), F.translate(widened, single_from, single_to)).otherwise(text)
-    return F.btrim(F.lower(folded), F.lit(WHITESPACE))
+    return F.translate(widened, single_from, single_to)

@@ -36,19 +36,49 @@ DOCUMENT_TYPE = (
 )
 
 
-#: The same with every number as text: a feed may write numbers either way.
-_AS_TEXT = re.sub(r":(int|double)\b", ":string", DOCUMENT_TYPE)
-_AS_DOUBLES = re.sub(r":int\b", ":double", DOCUMENT_TYPE)
+#: The parts of a document that each table is made from; what is not listed is passed over while parsing.
+_NAMED = "struct<pno:int,name:string,sName:string,scoreboardName:string>"
+PLAYERS_PART = f"struct<tm:map<string,struct<pl:map<string,{_NAMED}>>>>"
+BOX_PART = f"struct<tm:map<string,struct<name:string,pl:map<string,{PLAYER_TYPE}>>>>"
+EVENTS_PART = f"struct<tm:map<string,struct<name:string,pl:map<string,{_NAMED}>>>,pbp:array<{EVENT_TYPE}>>"
+SHOTS_PART = (
+    f"struct<tm:map<string,struct<name:string,pl:map<string,{_NAMED}>,shot:array<{SHOT_TYPE}>>>,"
+    "pbp:array<struct<actionNumber:int,clock:string>>>"
+)
 
 
-def document(json: Column | str) -> Column:
+def document(json: Column | str, part: str = DOCUMENT_TYPE) -> Column:
     """JSON text to a typed document, numbers given as numbers or as text."""
-    return F.from_json(json, _AS_TEXT).try_cast(_AS_DOUBLES).try_cast(DOCUMENT_TYPE)
+    # Read with every number as text: a feed may write numbers either way.
+    as_text, as_doubles = re.sub(r":(int|double)\b", ":string", part), re.sub(r":int\b", ":double", part)
+    return F.from_json(json, as_text).try_cast(as_doubles).try_cast(part)
+
+
+#: What Spark sets where a document does not have the types it is read with.
+_UNFIT = "_unfit"
+
+
+def parse_documents(
+    df: DataFrame, json: str = "json", match: str = "match_id", part: str = DOCUMENT_TYPE, typed_first: bool = False
+) -> DataFrame:
+    """Landed JSON text to a typed document; an unreadable one has neither teams nor events.
+
+    For a single table give the part that it is made from (``BOX_PART`` and so on). Reading numbers as
+    text is slow; with ``typed_first`` they are read as numbers, and only documents that hold others, or
+    are broken, are read again as text. That is for feeds that mostly write numbers as numbers.
+    """
+    if not typed_first:
+        return df.select(match, document(json, part).alias("doc"))
+    # The option also keeps the optimizer from reading less than the whole part to find misfits.
+    fits = F.from_json(json, f"{part[:-1]},{_UNFIT}:string>", {"columnNameOfCorruptRecord": _UNFIT})
+    read = df.select(match, F.col(json).alias("_json"), fits.alias("_doc"))
+    doc = F.when(F.col(f"_doc.{_UNFIT}").isNull(), F.col("_doc").dropFields(_UNFIT)).otherwise(document("_json", part))
+    return read.select(match, doc.alias("doc"))
 
 
-def parse_documents(df: DataFrame, json: str = "json", match: str = "match_id") -> DataFrame:
-    """Landed JSON text to a typed document; an unreadable one has neither teams nor events."""
-    return df.select(match, document(json).alias("doc"))
+def _whole(key: Column) -> Column:
+    """A map key as a whole number; keys without a digit are not tried, as each failure costs an exception."""
+    return F.when(key.rlike("[0-9]"), key.try_cast("int"))
 
 
 def _teams(raw: DataFrame, match: str) -> DataFrame:
@@ -57,7 +87,7 @@ def _teams(raw: DataFrame, match: str) -> DataFrame:
     The outer explode keeps Spark from adding a size filter that would parse each document twice.
     """
     entries = raw.select(match, F.explode_outer("doc.tm").alias("tid", "team"))
-    return entries.withColumn("tid", F.col("tid").try_cast("int")).where("tid is not null")
+    return entries.withColumn("tid", _whole(F.col("tid"))).where("tid is not null")
 
 
 def _display_name(player: Column) -> Column:
@@ -66,39 +96,48 @@ def _display_name(player: Column) -> Column:
     return F.when(F.trim(full) != "", full).otherwise(F.coalesce(player["scoreboardName"], absent))
 
 
+def _normalized(df: DataFrame, *names: str) -> DataFrame:
+    """Names folded in a step of their own, since folding looks at its input several times."""
+    return df.select(*[normalize_name(c).alias(c) if c in names else c for c in df.columns])
+
+
 def player_dim(raw: DataFrame, match: str = "match_id") -> DataFrame:
     """One row per listed player: team id, number (or else the map key), name."""
     listed = _teams(raw, match).select(match, "tid", F.explode("team.pl").alias("pid", "p"))
-    number = F.coalesce("p.pno", F.col("pid").try_cast("int"))
-    named = listed.select(match, "tid", number.alias("pno"), normalize_name(_display_name(F.col("p"))).alias("player"))
-    return named.where("pno is not null")
+    number = F.coalesce("p.pno", _whole(F.col("pid")))
+    named = listed.select(match, "tid", number.alias("pno"), _display_name(F.col("p")).alias("player"))
+    return _normalized(named.where("pno is not null"), "player")
 
 
-def _with_lookups(raw: DataFrame, match: str) -> DataFrame:
-    """Per document: parallel arrays from team to name, (team, number) to name, action to clock.
+def _with_lookups(raw: DataFrame, match: str, clocks: bool = False) -> DataFrame:
+    """Per document: parallel arrays from team to name, (team, number) to name and, if asked for, action to clock.
 
     Later entries win, so the arrays are reversed and searched from the front.
     """
     teams = F.filter(
         F.transform(
             F.map_entries("doc.tm"),
-            lambda e: F.struct(e["key"].try_cast("int").alias("tid"), e["value"]["name"].alias("name"), e["value"]["pl"].alias("pl")),
+            lambda e: F.struct(_whole(e["key"]).alias("tid"), e["value"]["name"].alias("name"), e["value"]["pl"].alias("pl")),
         ),
         lambda t: t["tid"].isNotNull(),
     )
     players = F.flatten(
         F.transform(
             F.col("_teams"),
-            lambda t: F.transform(
-                F.map_entries(F.coalesce(t["pl"], F.create_map().cast(f"map<string,{PLAYER_TYPE}>"))),
-                lambda p: F.struct(
-                    F.concat_ws(":", t["tid"], F.coalesce(p["value"]["pno"], p["key"].try_cast("int"))).alias("id"),
-                    _display_name(p["value"]).alias("name"),
+            lambda t: F.coalesce(
+                F.transform(
+                    F.map_entries(t["pl"]),
+                    lambda p: F.struct(
+                        F.concat_ws(":", t["tid"], F.coalesce(p["value"]["pno"], _whole(p["key"]))).alias("id"),
+                        _display_name(p["value"]).alias("name"),
+                    ),
                 ),
+                F.array().cast("array<struct<id:string,name:string>>"),
             ),
         )
     )
-    events = F.reverse(F.coalesce(F.col("doc.pbp"), F.array().cast(f"array<{EVENT_TYPE}>")))
+    latest = lambda field, kind: F.reverse(F.coalesce(F.col(f"doc.pbp.{field}"), F.array().cast(f"array<{kind}>")))
+    times = [latest("actionNumber", "int").alias("_actions"), latest("clock", "string").alias("_clocks")] if clocks else []
     return (
         raw.withColumn("_teams", teams)
         .withColumn("_players", F.reverse(players))
@@ -110,21 +149,20 @@ def _with_lookups(raw: DataFrame, match: str) -> DataFrame:
             F.col("_teams.name").alias("_tnames"),
             F.col("_players.id").alias("_pids"),
             F.col("_players.name").alias("_pnames"),
-            F.transform(events, lambda e: e["actionNumber"]).alias("_actions"),
-            F.transform(events, lambda e: e["clock"]).alias("_clocks"),
+            *times,
         )
     )
 
 
 def _find(values: str, keys: str, key: Column) -> Column:
     """Value at the first place where ``keys`` holds ``key``; null without a hit."""
-    place = F.array_position(F.col(keys), key)
-    return F.when(place > 0, F.get(F.col(values), (place - 1).cast("int")))
+    # Without a hit the place is 0, and what is before the first element is null.
+    return F.get(F.col(values), (F.array_position(F.col(keys), key) - 1).cast("int"))
 
 
 def _player_name(tid: Column, pno: Column) -> Column:
     known = tid.isNotNull() & pno.isNotNull()
-    return F.when(known, normalize_name(_find("_pnames", "_pids", F.concat_ws(":", tid, pno))))
+    return F.when(known, _find("_pnames", "_pids", F.concat_ws(":", tid, pno)))
 
 
 def pbp_rows(raw: DataFrame, match: str = "match_id") -> DataFrame:
@@ -134,45 +172,47 @@ def pbp_rows(raw: DataFrame, match: str = "match_id") -> DataFrame:
     )
     events = events.where("seq is not null")
     e = lambda field: F.col(f"e.{field}")
-    return events.select(
+    rows = events.select(
         match,
         F.col("seq").cast("bigint").alias("seq"),
         e("period").alias("period"),
         e("clock").alias("clock"),
         e("gt").alias("gt"),
-        normalize_name(_find("_tnames", "_tids", e("tno"))).alias("team"),
+        _find("_tnames", "_tids", e("tno")).alias("team"),
         _player_name(e("tno"), e("pno")).alias("player"),
-        normalize_name(e("actionType")).alias("action_type"),
-        normalize_name(e("subType")).alias("sub_type"),
+        e("actionType").alias("action_type"),
+        e("subType").alias("sub_type"),
         e("success").alias("success"),
         e("s1").alias("score_home"),
         e("s2").alias("score_away"),
     )
+    return _normalized(rows, "team", "player", "action_type", "sub_type")
 
 
 def shot_rows(raw: DataFrame, match: str = "match_id") -> DataFrame:
     """One row per shot; its clock is that of the last event with the same action number."""
-    per_team = _with_lookups(raw, match).select(
+    per_team = _with_lookups(raw, match, clocks=True).select(
         match, "_pids", "_pnames", "_actions", "_clocks", F.explode_outer("doc.tm").alias("tid", "t")
     )
-    shots = per_team.withColumn("tid", F.col("tid").try_cast("int")).where("tid is not null")
+    shots = per_team.withColumn("tid", _whole(F.col("tid"))).where("tid is not null")
     shots = shots.select(
         match, "tid", "_pids", "_pnames", "_actions", "_clocks", F.col("t.name").alias("team"), F.explode("t.shot").alias("s")
     )
     s = lambda field: F.col(f"s.{field}")
     by_number = _player_name(F.col("tid"), s("pno"))
-    return shots.select(
+    rows = shots.select(
         match,
-        normalize_name("team").alias("team"),
-        F.when(s("pno").isNotNull(), by_number).otherwise(normalize_name(s("person"))).alias("player"),
-        normalize_name(s("actionType")).alias("action"),
-        normalize_name(s("subType")).alias("sub_type"),
+        "team",
+        F.when(s("pno").isNotNull(), by_number).otherwise(s("person")).alias("player"),
+        s("actionType").alias("action"),
+        s("subType").alias("sub_type"),
         s("x").alias("x"),
         s("y").alias("y"),
         F.when(s("r") == 1, "made").otherwise("missed").alias("result"),
         s("per").alias("period"),
         _find("_clocks", "_actions", s("actionNumber")).alias("time"),
     )
+    return _normalized(rows, "team", "player", "action", "sub_type")
 
 
 def box_rows(raw: DataFrame, dates: DataFrame | None = None, match: str = "match_id") -> DataFrame:
@@ -184,9 +224,9 @@ def box_rows(raw: DataFrame, dates: DataFrame | None = None, match: str = "match
     looked_up = _with_lookups(raw, match)
     beside = ["date"] if "date" in raw.columns else []
     per_team = looked_up.select(match, *beside, "_pids", "_pnames", F.explode_outer("doc.tm").alias("tid", "team"))
-    listed = per_team.withColumn("tid", F.col("tid").try_cast("int")).where("tid is not null")
+    listed = per_team.withColumn("tid", _whole(F.col("tid"))).where("tid is not null")
     listed = listed.select(match, *beside, "tid", "_pids", "_pnames", "team.name", F.explode("team.pl").alias("pid", "p"))
-    number = F.coalesce("p.pno", F.col("pid").try_cast("int"))
+    number = F.coalesce("p.pno", _whole(F.col("pid")))
     listed = listed.withColumn("pno", number).where("pno is not null")
     p = lambda field: F.col(f"p.{field}")
     n = lambda field: F.coalesce(p(field), F.lit(0))
@@ -198,7 +238,7 @@ def box_rows(raw: DataFrame, dates: DataFrame | None = None, match: str = "match
     box = listed.select(
         match,
         *beside,
-        normalize_name("name").alias("team"),
+        F.col("name").alias("team"),
         _player_name(F.col("tid"), F.col("pno")).alias("player"),
         p("shirtNumber").alias("jersey"),
         p("starter").alias("starter"),
@@ -213,6 +253,7 @@ def box_rows(raw: DataFrame, dates: DataFrame | None = None, match: str = "match
         p("sPlusMinusPoints").alias("plus_minus"),
         eff.alias("efficiency"),
     )
+    box = _normalized(box, "team", "player")
     if beside:
         dated = box
     elif dates is None:

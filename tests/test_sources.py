@@ -220,3 +220,52 @@ def test_ingest_waits_for_a_readable_copy(spark, tmp_path):
     assert box.count() == 3 and {r.date for r in box.select("date").collect()} == {"2024-02-01"}
     ingest_batch(spark.createDataFrame(late[:1], schema), 2, out)
     assert spark.read.parquet(f"{out}/box").count() == 3
+
+
+def test_parts_of_documents(spark):
+    """Parsing only the part of a table, numbers first, gives the rows that whole documents parsed as text give."""
+    player = lambda n, **more: {"pno": n, "name": "Žán", "sName": f"N{n}", "sPoints": 7, "sMinutes": "10:30", "starter": 1} | more
+    team = lambda **more: {"name": "Ünö", "pl": {"1": player(1), "2": player("2", sPoints="12.0"), "x": player(None)}} | more
+    shot = {"pno": 1, "x": 4, "y": "2.5", "r": 1, "per": 2, "actionNumber": 3, "subType": "Dünk"}
+    event = {"tno": 1, "pno": 1, "actionNumber": 3, "clock": "09:00", "s1": "4", "period": 1}
+    plain = {"tm": {"1": team(pl={"1": player(1)}, shot=[shot | {"y": 2.5}]), "x": team()}, "pbp": [event | {"s1": 4}]}
+    mixed = {"tm": {"1": team(shot=[shot, {}]), " 2 ": team(pl=None), "2.0": team()}, "pbp": [event, {}, None]}
+    odd = [plain, mixed, {}, {"tm": None}, {"tm": {"1": None}}, {"tm": [1], "pbp": [event]}, {"tm": {"1": {"pl": [3]}}, "pbp": 5}]
+    texts = [*map(json.dumps, odd), "", "{", None, json.dumps(plain)[:-3], json.dumps(plain).replace("Ž", "É")]
+    raw = spark.createDataFrame(list(enumerate(texts)), "match_id long, json string")
+    whole = documents.parse_documents(raw)
+    tables = {
+        documents.player_dim: documents.PLAYERS_PART,
+        documents.pbp_rows: documents.EVENTS_PART,
+        documents.shot_rows: documents.SHOTS_PART,
+        documents.box_rows: documents.BOX_PART,
+    }
+    for make, part in tables.items():
+        want = sorted(map(str, make(whole).collect()))
+        assert want
+        for typed_first in (False, True):
+            got = make(documents.parse_documents(raw, part=part, typed_first=typed_first)).collect()
+            assert sorted(map(str, got)) == want, (make.__name__, typed_first)
+
+
+def test_raw_documents_are_compiled(spark, sf_dir):
+    from courtside.catalog import flattening
+    from courtside.catalog.base import Tables
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    tables = Tables(spark, sf_dir)
+    assert "lambdafunction" not in plan(flattening.raw_documents(tables))
+    assert "StructField(sFieldGoalsMade" not in plan(flattening.json_explode(tables))
+
+
+def test_usual_letters_fold_like_all(spark):
+    import unicodedata
+
+    from courtside.functions.names import LATIN_END, normalize_name
+
+    names = [f"a{chr(c)}B {chr(c)}" for c in range(0x21, 0x400)] + ["Ž\u0301x", "ŉ½", "\U0001d400é"]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select("n", normalize_name("n").alias("f")).collect()
+    for r in got:
+        plain = "".join(c for c in unicodedata.normalize("NFKD", r.n) if not unicodedata.combining(c))
+        assert r.f == plain.lower().strip(), r.n
+    assert LATIN_END == 0x250
