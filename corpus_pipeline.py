@@ -37,8 +37,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     content = F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 61)) + F.lit(1 << 62)
     keyed = docs.join(again, "doc_id", "left").withColumn("_key", F.when(F.col("_again"), content).otherwise(F.col("doc_id")))
     found = minhash.near_duplicates(keyed.select("_key", "text"), width=5, percent=80, id_col="_key")
-    keys = store(found.where("kept AND _key IS NOT NULL").select("_key").distinct())
-    kept = keyed.join(keys, "_key", "left_semi")
+    # What is dropped is the smaller list, and small enough to be sent to the texts instead of moving them.
+    dropped = store(found.groupBy("_key").agg(F.bool_or("kept").alias("_any")).where("NOT _any").select("_key"))
+    kept = keyed.where("_key IS NOT NULL").join(dropped, "_key", "left_anti")
     versions = kept.where("_again").select(*docs.columns).dropDuplicates()
     return kept.where("_again IS NULL").select(*docs.columns).unionByName(versions).unionByName(docs.where("doc_id IS NULL"))
 
