@@ -253,9 +253,9 @@ def test_raw_documents_are_compiled(spark, sf_dir):
     from courtside.catalog.base import Tables
 
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    tables = Tables(spark, sf_dir)
-    assert "lambdafunction" not in plan(flattening.raw_documents(tables))
-    assert "StructField(sFieldGoalsMade" not in plan(flattening.json_explode(tables))
+    assert "lambdafunction" not in plan(flattening.raw_documents(Tables(spark, sf_dir)))
+    raw = spark.createDataFrame([(1, "{}")], "match_id long, json string")
+    assert "sFieldGoalsMade" not in plan(documents.parse_documents(raw, part=documents.PLAYERS_PART, typed_first=True))
 
 
 def test_usual_letters_fold_like_all(spark):
