@@ -10,7 +10,7 @@ Nothing is rounded before the end and no value is left out, however large or sma
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -112,8 +112,8 @@ class Split:
         return df.withColumns(sums).drop(*[n for o in self.bins for n in self.names(o).values()])
 
 
-def exact_sums(df: DataFrame, keys: list[str], columns: Mapping[str, Column]) -> DataFrame:
-    """``groupBy(keys)`` with the exact sum of each named column."""
+def exact_sums(df: DataFrame, keys: list[str], columns: Mapping[str, Column], others: Sequence[Column] = ()) -> DataFrame:
+    """``groupBy(keys)`` with the exact sum of each named column, and ``others`` (aliased aggregates) beside them."""
     split = Split.of(df, columns)
-    grouped = df.groupBy(*keys).agg(*[F.sum(c).alias(o) for o, c in split.whole.items()])
+    grouped = df.groupBy(*keys).agg(*[F.sum(c).alias(o) for o, c in split.whole.items()], *others)
     return split.merged(grouped)

@@ -56,13 +56,14 @@ def suppressor(
     return df.join(own, ent, "left").withColumn(out, F.col(allowed) - F.col("_own")).drop("_own")
 
 
-def state(df: DataFrame, keys: str | Sequence[str], aggs: Mapping[str, str]) -> DataFrame:
+def state(df: DataFrame, keys: str | Sequence[str], aggs: Mapping[str, str], others: Sequence[Column] = ()) -> DataFrame:
     """Sums ``_s_{out}`` (exact) and counts ``_n_{out}`` of the values ``{out: value}`` per key.
 
-    States of separate days, or of old and new rows, merge by adding up.
+    States of separate days, or of old and new rows, merge by adding up. ``others`` are aliased aggregates
+    of the same groups.
     """
     counts = {f"_n_{o}": F.when(F.col(v).isNotNull(), 1).otherwise(0) for o, v in aggs.items()}
-    return exact_sums(df, list(_names(keys)), {f"_s_{o}": F.col(v) for o, v in aggs.items()} | counts)
+    return exact_sums(df, list(_names(keys)), {f"_s_{o}": F.col(v) for o, v in aggs.items()} | counts, others)
 
 
 def state_means(aggs: Mapping[str, str]) -> dict[str, Column]:

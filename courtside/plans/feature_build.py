@@ -163,17 +163,14 @@ def _with_edges(df: DataFrame) -> DataFrame:
 
 
 def _side_values(df: DataFrame) -> DataFrame:
-    """One row per match and side with its ``_t_`` values."""
+    """One row per match and side with its ``_t_`` values, stored, as its sums are measured before they are taken."""
     by = ["match_id", "team", "date"]
     sums = {out: c for c, (fn, out) in _SIDE_AGGREGATES.items() if fn in ("sum", "avg")}
     most = {out: c for c, (fn, out) in _SIDE_AGGREGATES.items() if fn == "max"}
-    added = matchups.state(df, by, sums)
+    found = matchups.state(df, by, sums, [F.max(c).alias(f"_t_{out}") for out, c in most.items()])
     means = matchups.state_means(sums)
     values = {out: F.col(f"_s_{out}") if fn == "sum" else means[out] for fn, out in _SIDE_AGGREGATES.values() if out in sums}
-    added = added.select(*by, *[c.alias(f"_t_{out}") for out, c in values.items()])
-    top = df.groupBy(*by).agg(*[F.max(c).alias(f"_t_{out}") for out, c in most.items()])
-    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
-    return added.join(top.withColumnsRenamed({c: f"_r_{c}" for c in by}), same).drop(*[f"_r_{c}" for c in by])
+    return store(found.select(*by, *[c.alias(f"_t_{out}") for out, c in values.items()], *[f"_t_{out}" for out in most]))
 
 
 def matchup_features_asof(df: DataFrame) -> DataFrame:
@@ -207,6 +204,8 @@ class MatchupState:
         """
         played = df.where("date IS NOT NULL").select(*dict.fromkeys(("player", *ASOF_INPUTS)))
         then = _with_class(matchups.asof_aggregate(played, "player", "date", _OWN))
+        # Measured before it is summed, so without the copy the whole history would be worked out twice.
+        then = store(then.select("opponent", "Pos_Est", *_ALLOWED.values()))
         return cls(
             store(matchups.state(played, "player", _OWN)),
             store(matchups.state(_side_values(played), "team", _SIDES)),
