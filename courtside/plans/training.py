@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from courtside.functions import (
@@ -22,6 +21,7 @@ from courtside.functions import (
     to_num,
 )
 from courtside.functions.labels import POSITION_DEFAULT
+from courtside.operators.boosting import boost, to_model
 from courtside.operators.evaluation import (
     days_cutoff,
     period_breakdown,
@@ -33,7 +33,7 @@ from courtside.operators.evaluation import (
 from courtside.operators.ordered import MAX_GROUP_ROWS, find_cuts
 from courtside.operators.rolling import blend, difference, expanding, history_features, shrunk_rate
 from courtside.operators.tables import fill_dates, fill_along, fill_numeric, with_defaults
-from courtside.session import ensure_checkpoint_dir, store
+from courtside.session import store
 
 PLAYER, ORDER = "player", ("date", "match_id")
 
@@ -171,26 +171,19 @@ def fit_gbt(
     out: str = "prediction",
     seed: int = 7,
 ) -> PipelineModel:
-    """Fit one boosted-tree model; node ids are checkpointed so that lineage stays short."""
-    ensure_checkpoint_dir(train.sparkSession)
+    """Fit one boosted-tree model; each level of each tree is one pass over packed rows (``boosting``)."""
     assembler = VectorAssembler(inputCols=list(features), outputCol=f"_{out}_features", handleInvalid="keep")
-    trees = GBTRegressor(
-        featuresCol=f"_{out}_features",
-        labelCol=label,
-        predictionCol=out,
-        lossType=boosting.loss,
-        maxDepth=boosting.depth,
-        stepSize=boosting.step,
-        maxIter=boosting.rounds,
-        subsamplingRate=boosting.subsample,
-        featureSubsetStrategy="all" if boosting.colsample >= 1 else str(boosting.colsample),
-        cacheNodeIds=True,
-        checkpointInterval=10,
-        seed=seed,
-    )
+    settings = (boosting.loss, boosting.depth, boosting.step, boosting.rounds, boosting.subsample, boosting.colsample, seed)
+    trees, cuts = boost(train, features, label, weight, *settings)
+    params = {
+        "featuresCol": f"_{out}_features", "labelCol": label, "predictionCol": out, "lossType": boosting.loss,
+        "maxDepth": boosting.depth, "stepSize": boosting.step, "maxIter": boosting.rounds, "seed": seed,
+        "subsamplingRate": boosting.subsample,
+        "featureSubsetStrategy": "all" if boosting.colsample >= 1 else str(boosting.colsample),
+    }
     if weight is not None:
-        trees = trees.setWeightCol(weight)
-    return Pipeline(stages=[assembler, trees]).fit(train)
+        params["weightCol"] = weight
+    return PipelineModel([assembler, to_model(train.sparkSession, trees, cuts, params)])
 
 
 @dataclass
