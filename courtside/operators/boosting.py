@@ -3,21 +3,25 @@
 A row is reduced to one byte per feature, its label and its weight, and rows are stored as blocks of packed
 arrays. A level of a tree is one pass: each task adds up weights and residuals per node, feature and bin over its
 blocks, and only these sums, whose size depends on features and nodes alone, reach the driver, which picks the
-splits. Forecasts stay with the blocks in memory and are brought up to date every few rounds; what is lost
-with an executor is worked out again from the stored blocks. Trees, losses, steps and importances are those of MLlib's
-``GBTRegressor``, and what comes out is its model; random draws differ, and cut points are quantiles of all rows.
+splits. An executor keeps a copy of its blocks, with their forecasts, in mapped files of its own folder for temporary
+files, so that a pass is sent the numbers of blocks instead of their rows. A copy that is behind, as after the loss of an
+executor, catches up by the trees it misses; a block that has no copy where its task runs is read from the stored ones.
+Trees, losses, steps and importances are those of MLlib's ``GBTRegressor``, and what comes out is its model; random
+draws differ, and cut points are quantiles of all rows.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,15 +30,21 @@ from courtside.session import ensure_checkpoint_dir, store, with_package
 
 #: Bins of a feature, as many as ``GBTRegressor`` has.
 BINS = 32
-#: Rows of a block, and rounds between two updates of the stored forecasts, every so many of them from scratch.
-BLOCK_ROWS, REFRESH, REBASE = 65_536, 5, 12
+#: Rows of a block, rounds between two updates of the kept forecasts, and updates between two broadcasts of all trees
+#: (the later ones go with each pass).
+BLOCK_ROWS, REFRESH, REBASE = 65_536, 1, 60
+#: Bytes of the stored blocks that a task works on at most.
+TASK_BYTES = 100_000_000
+#: Nodes up to which two features are counted at a time.
+PAIRED_NODES = 64
 #: From so many tasks on their sums are added up in a few tasks before they reach the driver.
 MANY_TASKS = 64
 #: Gains below this share of the node's own figure are rounding.
 ROUNDING = 1e-12
 
 _BLOCK = "part int, block int, bins binary, label binary, weight binary"
-_BINARY = pa.schema([("sums", pa.binary())])
+_SUMS = "sums binary, missing binary"
+_BINARY = pa.schema([("sums", pa.binary()), ("missing", pa.binary())])
 
 
 @dataclass
@@ -159,25 +169,87 @@ def to_blocks(df: DataFrame, cuts: Sequence[np.ndarray]) -> DataFrame:
     return df.mapInArrow(run, _BLOCK)
 
 
-def _arrays(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[tuple]:
-    """Part, block, bins by feature, and the other arrays of each block."""
-    for batch in batches:
-        for row in zip(*batch.columns):
-            label, weight, *before = (np.frombuffer(c.as_buffer()) for c in row[3:])
-            bins = np.frombuffer(row[2].as_buffer(), np.uint8).reshape(features, len(label))
-            yield row, bins, label, weight, before[0] if before else np.zeros(len(label))
+class Copy:
+    """An executor's own copy of a block in a mapped file: what the rows hold, their forecasts and their marks.
 
+    Forecasts before an update are left as they are until the next one, and so are the marks of the round before, so
+    that a task that is run again finds what it started from.
+    """
 
-def with_forecasts(blocks: DataFrame, features: int, trees: Sequence[tuple]) -> DataFrame:
-    """The blocks with the forecasts of ``trees`` added to those they have."""
+    def __init__(self, path: str, features: int):
+        self.held = np.memmap(path, np.uint8, "r+")
+        rows = (len(self.held) - 16) // (34 + features)
+        #: Round whose forecasts are held, and round whose marks are.
+        self.head = self.held[:16].view(np.int64)
+        numbers = self.held[16 : 16 + 32 * rows].view(np.float64).reshape(4, rows)
+        self.label, self.weight, self.forecasts = numbers[0], numbers[1], numbers[2:]
+        small = self.held[16 + 32 * rows :].reshape(features + 2, rows)
+        self.bins, self.marks = small[:features], small[features:]
+
+    @staticmethod
+    def path(key: str, part: int, block: int) -> str:
+        folder = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or tempfile.gettempdir()
+        return os.path.join(folder, f"courtside-{key}-{part}-{block}")
+
+    @staticmethod
+    def write(path: str, bins: pa.Scalar, label: pa.Scalar, weight: pa.Scalar) -> None:
+        """A copy that no tree has been added to; it takes its name when it is whole."""
+        rows = len(label.as_buffer()) // 8
+        with tempfile.NamedTemporaryFile(dir=os.path.dirname(path), delete=False) as out:
+            out.write(np.array([0, -1], np.int64))
+            for part in (label.as_buffer(), weight.as_buffer(), bytes(16 * rows), bins.as_buffer(), bytes(2 * rows)):
+                out.write(part)
+        os.replace(out.name, path)
+
+    def forecast(self, turn: int, trees: Callable[[int, int], Sequence[tuple]]) -> np.ndarray:
+        """Forecasts of all trees before a round; ``trees`` gives those of a range of rounds."""
+        last = turn - turn % REFRESH
+        held, at = int(self.head[0]), last // REFRESH % 2
+        if held != last:
+            known = 0 <= held < last
+            before = self.forecasts[held // REFRESH % 2] if known else np.zeros(len(self.label))
+            after = forecast(self.bins, before, trees(held if known else 0, last))
+            # What is held counts again when it is whole.
+            self.head[0] = -1 if held // REFRESH % 2 == at else held
+            self.forecasts[at] = after
+            self.head[0] = last
+        return forecast(self.bins, self.forecasts[at], trees(last, turn))
+
+    def marked(self, turn: int, draw: Callable, trees: Callable) -> np.ndarray:
+        """Per row whether the label is below the forecast (1) and whether the row is drawn (2)."""
+        marks = self.marks[turn % 2]
+        if self.head[1] != turn:
+            marks[:] = (self.label < self.forecast(turn, trees)).view(np.uint8) if turn else 0
+            marks |= draw(len(marks)).astype(np.uint8) << 1
+            self.head[1] = turn
+        return marks
+
+
+def keep(blocks: DataFrame, key: str) -> DataFrame:
+    """Write the copies; the rows that are left are the numbers of the blocks and stay where the copies are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, bins, _, _, before in _arrays(batches, features):
-            arrays = [pa.array([c.as_py()], c.type) for c in row[:5]] + [pa.array([forecast(bins, before, trees).tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        for batch in batches:
+            for part, block, *arrays in zip(*batch.columns):
+                Copy.write(Copy.path(key, part.as_py(), block.as_py()), *arrays)
+            yield batch.select(["part", "block"])
+
+    return blocks.mapInArrow(run, "part int, block int").persist()
 
-    names = [*[c.split()[0] for c in _BLOCK.split(", ")], "forecast"]
-    return blocks.mapInArrow(run, f"{_BLOCK}, forecast binary")
+
+def drop(kept: DataFrame, key: str) -> None:
+    """Remove the copies; what is left on other executors goes with their folders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, block in zip(*batch.columns):
+                path = Copy.path(key, part.as_py(), block.as_py())
+                if os.path.exists(path):
+                    os.remove(path)
+            yield batch
+
+    kept.mapInArrow(run, "part int, block int").count()
+    kept.unpersist()
 
 
 @dataclass(frozen=True)
@@ -191,60 +263,118 @@ class Fit:
     subsample: float
     per_node: int
     seed: int
+    key: str
+
+
+class Histograms:
+    """Sums of several weights by node, feature and bin, collected block by block."""
+
+    def __init__(self, features: int, nodes: int, wanted: Sequence[int]):
+        self.features, self.nodes = features, nodes
+        at_once = 2 if nodes <= PAIRED_NODES else 1
+        self.tables = {tuple(wanted[i : i + at_once]): None for i in range(0, len(wanted), at_once)}
+
+    def add(self, bins: np.ndarray, node: np.ndarray, weights: Sequence[np.ndarray]) -> None:
+        # Two features are counted as one with the bins of both, whose sums give either.
+        first = {len(pair): node.astype(np.intp) * BINS ** len(pair) for pair in self.tables}
+        for pair, table in self.tables.items():
+            own = bins[pair[0]] if len(pair) == 1 else bins[pair[0]].astype(np.uint16) * BINS + bins[pair[1]]
+            own = first[len(pair)] + own
+            found = np.stack([np.bincount(own, w, self.nodes * BINS ** len(pair)) for w in weights])
+            self.tables[pair] = found if table is None else table + found
+
+    def sums(self, count: int) -> np.ndarray:
+        """By weight, feature, node and bin; zero for features that were not wanted."""
+        out = np.zeros((count, self.features, self.nodes, BINS))
+        for pair, table in self.tables.items():
+            if table is not None:
+                table = table.reshape(count, self.nodes, *[BINS] * len(pair))
+                for k, f in enumerate(pair):
+                    out[:, f] = table if len(pair) == 1 else table.sum(axis=3 - k)
+        return out
 
 
-def level_sums(fit: Fit, turn: int, tree: Tree, level: int, wanted: Sequence[int], pending: Sequence[tuple]) -> Callable:
-    """A pass: weight, residuals and their squares summed by node of the level, feature and bin."""
-    size = 2**level * BINS
+def level_sums(
+    fit: Fit, turn: int, tree: Tree, level: int, wanted: Sequence[int], earlier: Broadcast | None, later: Sequence[tuple]
+) -> Callable:
+    """A pass: weight, residuals and their squares summed by node of the level, feature and bin.
+
+    The batches name blocks, or hold them; named blocks without a copy here are left out and named in what comes out.
+    """
     feature, cut = tree.feature, tree.cut
-    features, loss, subsample, seed = fit.features, fit.loss, fit.subsample, fit.seed
-    signs = turn and loss == "absolute"
+    features, loss, subsample, seed, key = fit.features, fit.loss, fit.subsample, fit.seed, fit.key
+    signs = bool(turn and loss == "absolute")
+    start = turn - len(later)
+
+    def trees(lo: int, hi: int) -> Sequence[tuple]:
+        return [*(earlier.value[lo:hi] if lo < start else ()), *later[max(0, lo - start) : max(0, hi - start)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, features, size))
-        for row, bins, label, weight, before in _arrays(batches, features):
-            left = residuals(loss, label, forecast(bins, before, pending)) if turn else label
-            if subsample < 1:
-                draw = np.random.default_rng([seed, turn, row[0].as_py(), row[1].as_py()])
-                weight = weight * (draw.random(len(label), np.float32) < subsample)
-            weighted = weight * left
-            squares = None if signs else weighted * left
-            first = nodes_of(bins, feature, cut, level).astype(np.intp) * BINS
-            for f in wanted:
-                key = first + bins[f]
-                sums[0, f] += np.bincount(key, weight, size)
-                sums[1, f] += np.bincount(key, weighted, size)
-                if not signs:
-                    sums[2, f] += np.bincount(key, squares, size)
+        found, missing = Histograms(features, 2**level * (2 if signs else 1), wanted), []
+        for batch in batches:
+            for part, block, *arrays in zip(*batch.columns):
+                number = part.as_py(), block.as_py()
+                path = Copy.path(key, *number)
+                if not os.path.exists(path):
+                    if not arrays:
+                        missing.append(number)
+                        continue
+                    Copy.write(path, *arrays)
+                copy = Copy(path, features)
+                draw = lambda rows: (
+                    np.random.default_rng([seed, turn, *number]).random(rows, np.float32) < subsample
+                    if subsample < 1
+                    else np.ones(rows, bool)
+                )
+                marks = copy.marked(turn, draw, trees)
+                weight = copy.weight * (marks >> 1) if subsample < 1 else copy.weight
+                node = nodes_of(copy.bins, feature, cut, level)
+                if signs:
+                    found.add(copy.bins, node.astype(np.uint16) << 1 | marks & 1, [weight])
+                else:
+                    left = residuals(loss, copy.label, copy.forecast(turn, trees)) if turn else copy.label
+                    weighted = weight * left
+                    found.add(copy.bins, node, [weight, weighted, weighted * left])
         if signs:
-            sums[2] = sums[0]
-        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], schema=_BINARY)
+            above, below = np.moveaxis(found.sums(1)[0].reshape(features, -1, 2, BINS), 2, 0)
+            sums = np.stack([above + below, above - below, above + below])
+        else:
+            sums = found.sums(3)
+        values = [[sums.tobytes()], [np.array(missing, np.int32).tobytes()]]
+        yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) for v in values], schema=_BINARY)
 
     return run
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
+    total, missing = None, b""
     for batch in batches:
-        for value in batch.column(0):
+        for value, named in zip(*batch.columns):
             sums = np.frombuffer(value.as_buffer())
-            total = sums if total is None else total + sums
+            total, missing = sums if total is None else total + sums, missing + named.as_py()
     if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], schema=_BINARY)
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in (total.tobytes(), missing)], schema=_BINARY)
 
 
-def summed(blocks: DataFrame, run: Callable, shape: tuple[int, ...]) -> np.ndarray:
+def summed(kept: DataFrame, stored: DataFrame, run: Callable, shape: tuple[int, ...]) -> np.ndarray:
     """The sums of all tasks; added up in task order, so that a repetition gives the same bits."""
-    sums = blocks.mapInArrow(run, "sums binary")
-    if blocks.sparkSession.sparkContext.defaultParallelism > MANY_TASKS:
-        sums = sums.repartition(MANY_TASKS // 8).mapInArrow(_added, "sums binary")
-    total = np.zeros(shape)
-    for row in sums.collect():
-        total += np.frombuffer(row.sums).reshape(shape)
+    spark, total = kept.sparkSession, np.zeros(shape)
+    blocks = kept
+    while blocks is not None:
+        sums, missing = blocks.mapInArrow(run, _SUMS), []
+        if spark.sparkContext.defaultParallelism > MANY_TASKS:
+            sums = sums.repartition(MANY_TASKS // 8).mapInArrow(_added, _SUMS)
+        for row in sums.collect():
+            total += np.frombuffer(row.sums).reshape(shape)
+            missing += np.frombuffer(row.missing, np.int32).reshape(-1, 2).tolist()
+        # Blocks without a copy where their task ran: these are read.
+        blocks = stored.join(spark.createDataFrame(missing, "part int, block int"), ["part", "block"]) if missing else None
     return total
 
 
-def grow(fit: Fit, turn: int, tree: Tree, blocks: DataFrame, pending: Sequence[tuple]) -> None:
+def grow(
+    fit: Fit, turn: int, tree: Tree, kept: DataFrame, stored: DataFrame, earlier: Broadcast | None, later: Sequence[tuple]
+) -> None:
     """Fit the tree level by level."""
     for level in range(tree.depth):
         base = 2**level - 1
@@ -256,8 +386,8 @@ def grow(fit: Fit, turn: int, tree: Tree, blocks: DataFrame, pending: Sequence[t
             draw = np.random.default_rng([fit.seed, turn, at])
             chosen[at] = sorted(draw.choice(fit.features, fit.per_node, replace=False).tolist())
         wanted = sorted({f for some in chosen.values() for f in some})
-        run = level_sums(fit, turn, tree, level, wanted, pending)
-        sums = summed(blocks, run, (3, fit.features, 2**level, BINS))
+        run = level_sums(fit, turn, tree, level, wanted, earlier, later)
+        sums = summed(kept, stored, run, (3, fit.features, 2**level, BINS))
         for at in open_nodes:
             if not level:
                 tree.stats[0] = tuple(sums[:, wanted[0], 0].sum(axis=1))
@@ -305,27 +435,30 @@ def boost(
     count = len(features)
     cuts = cut_points(rows, rows.columns[:count])
     per_node = count if colsample >= 1 else int(np.ceil(colsample * count))
-    fit = Fit(count, cuts, loss, depth, subsample, per_node, seed)
-    # Dealt evenly, as every pass waits for its slowest task.
-    stored = store(to_blocks(rows, cuts).repartition(df.sparkSession.sparkContext.defaultParallelism))
-    current, older, trees, pending = with_forecasts(stored, count, ()).persist(), None, [], []
-    for turn in range(rounds):
-        if turn and turn % REFRESH == 0:
-            older, fresh = current, turn % (REFRESH * REBASE) == 0
-            # Now and then from the stored blocks, so that a lost part never needs many older ones.
-            current = with_forecasts(stored if fresh else older, count, [t.packed() for t in trees] if fresh else pending)
-            current, pending = current.persist(), []
-        tree = Tree(depth, step if turn else 1.0)
-        grow(fit, turn, tree, current, pending)
-        if older is not None:
-            older.unpersist()
-            older = None
-        if not turn and not tree.stats[0][0]:
-            current.unpersist()
-            raise ValueError("no rows to train on, or none with a weight")
-        trees.append(tree)
-        pending = [*pending, tree.packed()]
-    current.unpersist()
+    fit = Fit(count, cuts, loss, depth, subsample, per_node, seed, uuid.uuid4().hex)
+    context = df.sparkSession.sparkContext
+    # Dealt evenly, as every pass waits for its slowest task: as many tasks as run at once, or a multiple where they would
+    # be large.
+    total, slots = rows.count(), context.defaultParallelism
+    dealt = min(slots * max(1, -(-total * (count + 16) // (slots * TASK_BYTES))), max(1, total // BLOCK_ROWS))
+    stored = store(to_blocks(rows, cuts).repartition(dealt))
+    kept, trees, earlier, later = keep(stored, fit.key), [], None, []
+    try:
+        for turn in range(rounds):
+            if turn and turn % (REFRESH * REBASE) == 0:
+                if earlier is not None:
+                    earlier.destroy()
+                earlier, later = context.broadcast([t.packed() for t in trees]), []
+            tree = Tree(depth, step if turn else 1.0)
+            grow(fit, turn, tree, kept, stored, earlier, later)
+            if not turn and not tree.stats[0][0]:
+                raise ValueError("no rows to train on, or none with a weight")
+            trees.append(tree)
+            later = [*later, tree.packed()]
+    finally:
+        drop(kept, fit.key)
+        if earlier is not None:
+            earlier.destroy()
     return trees, cuts
 
 
