@@ -269,9 +269,9 @@ class Fit:
 class Histograms:
     """Sums of several weights by node, feature and bin, collected block by block."""
 
-    def __init__(self, features: int, nodes: int, wanted: Sequence[int]):
+    def __init__(self, features: int, nodes: int, wanted: Sequence[int], paired: bool = True):
         self.features, self.nodes = features, nodes
-        at_once = 2 if nodes <= PAIRED_NODES else 1
+        at_once = 2 if paired and nodes <= PAIRED_NODES else 1
         self.tables = {tuple(wanted[i : i + at_once]): None for i in range(0, len(wanted), at_once)}
 
     def add(self, bins: np.ndarray, node: np.ndarray, weights: Sequence[np.ndarray]) -> None:
@@ -310,7 +310,8 @@ def level_sums(
         return [*(earlier.value[lo:hi] if lo < start else ()), *later[max(0, lo - start) : max(0, hi - start)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, missing = Histograms(features, 2**level * (2 if signs else 1), wanted), []
+        # The first tree's means may equal labels, where rounding decides a sign: they are added up feature by feature.
+        found, missing = Histograms(features, 2**level * (2 if signs else 1), wanted, turn > 0), []
         for batch in batches:
             for part, block, *arrays in zip(*batch.columns):
                 number = part.as_py(), block.as_py()
